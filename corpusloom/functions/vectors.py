@@ -41,12 +41,11 @@ def bucket(term: Column, dim: int) -> Column:
 
 def hash_embedding(text: Column, dim: int = 64) -> Column:
     """Counts of hashed tokens; deterministic, needs no model. Cosine makes the length irrelevant."""
-    counts = F.aggregate(
-        X.tokens(text),
+    return F.aggregate(
+        F.transform(X.tokens(text), lambda t: bucket(t, dim)),
         F.array_repeat(F.lit(0.0), dim),
-        lambda acc, t: _add_at(acc, bucket(t, dim), dim),
+        lambda acc, i: _add_at(acc, i, dim),
     )
-    return counts
 
 
 def _add_at(acc: Column, index: Column, dim: int) -> Column:
