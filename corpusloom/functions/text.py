@@ -325,7 +325,7 @@ def parse_tag_features(c: Column) -> Column:
     """JSON (or single-quoted literal) map text to a map of finite numbers; anything else is an empty map."""
     text = strip(c)
     text = F.when(text.rlike(r"^\{\s*'"), F.replace(text, F.lit("'"), F.lit('"'))).otherwise(text)
-    raw = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+    raw = F.try_variant_get(strict_json(text), "$", "map<string,variant>")
     numeric = F.map_filter(
         raw, lambda k, v: (strip(k) != "") & F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT)")
     )
@@ -491,12 +491,18 @@ def strip_reasoning(c: Column) -> Column:
     return F.when((first > 0) & F.contains(c, F.lit("</think>")) & (last >= first), F.substring_index(c, "</think>", -1)).otherwise(c)
 
 
+def strict_json(c: Column) -> Column:
+    """VARIANT of a text that is exactly one JSON value, else null (trailing content is not accepted)."""
+    wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
+    return F.when(F.size(wrapped) == 1, F.get(wrapped, F.lit(0)))
+
+
 def parse_fenced_json(c: Column) -> Column:
     """Strip a JSON fence and parse; invalid text gives an empty object (as VARIANT)."""
     text = strip(c)
     text = F.when(F.startswith(text, F.lit("```json")), F.substr(text, F.lit(8))).otherwise(text)
     text = F.when(F.endswith(text, F.lit("```")), F.substr(text, F.lit(1), F.length(text) - 3)).otherwise(text)
-    return F.coalesce(F.try_parse_json(strip(text)), F.parse_json(F.lit("{}")))
+    return F.coalesce(strict_json(strip(text)), F.parse_json(F.lit("{}")))
 
 
 def front_matter(c: Column, default_name: Column) -> Column:

@@ -41,12 +41,7 @@ def bucket(term: Column, dim: int) -> Column:
 
 def hash_embedding(text: Column, dim: int = 64) -> Column:
     """Counts of hashed tokens; deterministic, needs no model. Cosine makes the length irrelevant."""
-    return F.aggregate(
-        F.transform(X.tokens(text), lambda t: bucket(t, dim)),
-        F.array_repeat(F.lit(0.0), dim),
-        lambda acc, i: _add_at(acc, i, dim),
-    )
-
-
-def _add_at(acc: Column, index: Column, dim: int) -> Column:
-    return F.concat(F.slice(acc, 1, index), F.array(F.get(acc, index) + 1.0), F.slice(acc, index + 2, F.lit(dim)))
+    # Transforming a one-element array binds the buckets once, so they are not computed again per dimension.
+    buckets = F.array(F.transform(X.tokens(text), lambda t: bucket(t, dim)))
+    dims = F.sequence(F.lit(0), F.lit(dim - 1))
+    return F.transform(buckets, lambda b: F.transform(dims, lambda d: F.size(F.filter(b, lambda x: x == d)).cast("double")))[0]

@@ -6,6 +6,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from corpusloom.functions import vectors as VEC
 from corpusloom.operators.running import top_k
 
-QUERY_BLOCK_BYTES = 32 << 20  # queries sent to every task at once
+QUERY_BLOCK = 16384  # query vectors sent to every task at once
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -34,26 +35,26 @@ def nearest(
     """``(query, item, similarity[, rank])``: exact cosine, filtered by ``threshold``, the best ``k`` per query.
 
     The items are scanned in place and never shuffled: each task multiplies its Arrow batches with a block of query
-    vectors and keeps at most ``k`` rows per query and batch. The block is bounded by ``QUERY_BLOCK_BYTES``; when the
-    queries need more, further blocks make further passes. Scores are rounded so that equal vectors tie exactly.
+    vectors and keeps at most ``k`` rows per query and batch. A block holds at most about ``QUERY_BLOCK`` queries;
+    more queries are split by hash and make further passes. Scores are rounded so that equal vectors tie exactly.
     """
     queries = queries.select(query, vector)
-    stats = queries.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("d")).first()
-    blocks = max(1, -(-(stats["n"] * max(stats["d"] or 1, 1) * 8) // QUERY_BLOCK_BYTES))
     out_schema = f"{query} {queries.schema[query].dataType.simpleString()}, {item} {items.schema[item].dataType.simpleString()}, similarity double"
-    passes = [
-        _one_pass(queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64(query), F.lit(blocks)) == b), items, k, threshold,
-                  query, item, vector, digits, out_schema)
-        for b in range(blocks)
-    ]
-    found = reduce(lambda a, b: a.unionByName(b), passes)
+    head = queries.limit(QUERY_BLOCK + 1).toArrow()
+    if head.num_rows <= QUERY_BLOCK:
+        blocks = [head]
+    else:
+        n = -(-2 * queries.count() // QUERY_BLOCK)  # twice as many as needed, for uneven hashes
+        blocks = (queries.filter(F.pmod(F.xxhash64(query), F.lit(n)) == b).toArrow() for b in range(n))
+    found = reduce(
+        lambda a, b: a.unionByName(b),
+        [_one_pass(block, items, k, threshold, query, item, vector, digits, out_schema) for block in blocks])
     if k is None:
         return found
     return top_k(found, query, [F.col("similarity").desc(), F.col(item)], k)
 
 
-def _one_pass(queries, items, k, threshold, query, item, vector, digits, out_schema):
-    block = queries.toArrow()  # at most QUERY_BLOCK_BYTES
+def _one_pass(block, items, k, threshold, query, item, vector, digits, out_schema):
     ids = block.column(query).combine_chunks()
     matrix = _unit_rows(_matrix(block.column(vector).combine_chunks()))
     shared = items.sparkSession.sparkContext.broadcast((ids, matrix))
@@ -61,6 +62,8 @@ def _one_pass(queries, items, k, threshold, query, item, vector, digits, out_sch
     def score(batches):
         ids, matrix = shared.value
         for batch in batches:
+            if batch.column(vector).null_count:
+                batch = batch.filter(pc.is_valid(batch.column(vector)))
             if batch.num_rows == 0 or len(ids) == 0:
                 continue
             names = batch.column(item)
@@ -76,7 +79,7 @@ def _one_pass(queries, items, k, threshold, query, item, vector, digits, out_sch
                 [ids.take(pa.array(qi)), names.take(pa.array(ii)), pa.array(sims[qi, ii])], names=[query, item, "similarity"]
             )
 
-    return items.filter(F.col(vector).isNotNull()).select(item, vector).mapInArrow(score, out_schema)
+    return items.select(item, vector).mapInArrow(score, out_schema)
 
 
 def nearest_approximate(

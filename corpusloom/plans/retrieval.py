@@ -183,10 +183,10 @@ def j2(t):
     return fused(t)
 
 
-@query("r8_weighted_fusion", f"""with {FUSED} select query_id, doc_id, round(0.05 * text_score + 0.95 * vector_score + coalesce(toxic, 0) / 100, 6) as score from fused left join labels using (doc_id)""")
+@query("r8_weighted_fusion", f"""with {FUSED} select query_id, doc_id, round(0.05 * text_score + 0.95 * vector_score + coalesce(toxic, 0) / 100, 9) as score from fused left join labels using (doc_id)""")
 def r8(t):
     ranked = fused(t).join(t.labels.select("doc_id", F.col("toxic").alias("pagerank")), "doc_id", "left")
-    return V.weighted_fusion(ranked, pagerank="pagerank").select("query_id", "doc_id", F.round("score", 6).alias("score"))
+    return V.weighted_fusion(ranked, pagerank="pagerank").select("query_id", "doc_id", F.round("score", 9).alias("score"))
 
 
 @query("r9_normalised_fusion", f"""with {FUSED} select query_id, doc_id, round(0.05 * atan(text_score) * 2 / pi() + 0.95 * atan(vector_score) * 2 / pi(), 6) as score from fused""")
@@ -225,11 +225,11 @@ def r12(t):
 
 
 @query("r13_hybrid_similarity", f"""with {TERMSIM}, {VECS}, p as (select query_id, doc_id, term_similarity, similarity as vector_similarity from ts join sim using (query_id, doc_id) where similarity >= 0.3)
-select query_id, doc_id, round(case when sum(vector_similarity) over (partition by query_id) = 0 then term_similarity else 0.7 * vector_similarity + 0.3 * term_similarity end, 5) as similarity from p""")
+select query_id, doc_id, round(case when sum(vector_similarity) over (partition by query_id) = 0 then term_similarity else 0.7 * vector_similarity + 0.3 * term_similarity end, 8) as similarity from p""")
 def r13(t):
     terms = V.token_similarity(weighted_queries(t), tokenized(t.documents), "doc_id").withColumn("term_similarity", F.round("term_similarity", 6))
     pairs = terms.join(vector_hits(t, threshold=0.3).withColumnRenamed("similarity", "vector_similarity"), ["query_id", "doc_id"])
-    return V.hybrid_similarity(pairs).select("query_id", "doc_id", F.round("similarity", 5).alias("similarity"))
+    return V.hybrid_similarity(pairs).select("query_id", "doc_id", F.round("similarity", 8).alias("similarity"))
 
 
 def rerank_sql(source: str = "docs") -> str:
@@ -263,12 +263,12 @@ def r15(t):
 
 FULL = f"""docs as (select d.doc_id, text, source from documents d left join labels l using (doc_id) where not coalesce(quality < 1, false)), {QS}, {STATS}, {WEIGHTS}, {match_sql(0.3)}, {VECS},
  vtop as (select query_id, doc_id, similarity from sim where similarity >= 0.1 qualify row_number() over (partition by query_id order by similarity desc, doc_id) <= 100),
- cand as (select query_id, doc_id from (select coalesce(a.query_id, b.query_id) as query_id, coalesce(a.doc_id, b.doc_id) as doc_id, round(0.05 * coalesce(score, 0) + 0.95 * coalesce(similarity, 0), 6) as s
+ cand as (select query_id, doc_id from (select coalesce(a.query_id, b.query_id) as query_id, coalesce(a.doc_id, b.doc_id) as doc_id, round(0.05 * coalesce(score, 0) + 0.95 * coalesce(similarity, 0), 9) as s
    from txt a full join vtop b on a.query_id = b.query_id and a.doc_id = b.doc_id) qualify row_number() over (partition by query_id order by s desc, doc_id) <= 64),
  {SIMILAR}, {rerank_sql()},
  ts as (select query_id, doc_id, sum(x) as x from qf join dfe using (f) group by all),
  parts as (select query_id, doc_id, source, round((coalesce(x, 0) + 1e-9) / (s + 1e-9), 6) as term_similarity, similarity as vector_similarity from cand join docs using (doc_id) join qsum using (query_id) left join ts using (query_id, doc_id) join sim using (query_id, doc_id)),
- scored as (select *, round(case when sum(vector_similarity) over (partition by query_id) = 0 then term_similarity else 0.7 * vector_similarity + 0.3 * term_similarity end, 5) as similarity from parts),
+ scored as (select *, round(case when sum(vector_similarity) over (partition by query_id) = 0 then term_similarity else 0.7 * vector_similarity + 0.3 * term_similarity end, 8) as similarity from parts),
  kept as (select *, row_number() over (partition by query_id order by similarity desc, doc_id) as rank from scored where similarity >= 0.2)"""
 
 
@@ -278,11 +278,11 @@ def full_retrieval(t):
     weighted = weighted_queries(t)
     every = vector_hits(t, docs)
     near = K.threshold_rank(every, "query_id", "similarity", 0.1, "doc_id", k=100)
-    candidates = V.weighted_fusion(V.fuse_candidates(text_hits(t, docs, 0.3, weighted), near, "doc_id")).withColumn("score", F.round("score", 6))
+    candidates = V.weighted_fusion(V.fuse_candidates(text_hits(t, docs, 0.3, weighted), near, "doc_id")).withColumn("score", F.round("score", 9))
     pool = top_k(candidates, "query_id", [F.col("score").desc(), F.col("doc_id")], 64).select("query_id", "doc_id")
     terms = V.token_similarity(weighted, boosted(docs), "doc_id", pairs=pool).withColumn("term_similarity", F.round("term_similarity", 6))
     parts = terms.join(every.withColumnRenamed("similarity", "vector_similarity"), ["query_id", "doc_id"]).join(docs.select("doc_id", "source"), "doc_id")
-    scored = V.hybrid_similarity(parts).withColumn("similarity", F.round("similarity", 5))
+    scored = V.hybrid_similarity(parts).withColumn("similarity", F.round("similarity", 8))
     return K.threshold_rank(scored, "query_id", "similarity", 0.2, "doc_id", k=64)
 
 
@@ -303,21 +303,21 @@ def g2(t):
 
 
 @query("r18_document_scores", f"""with {FULL}, s as (select query_id, source, sum(similarity) as total from kept group by all)
-select query_id, source, round(total, 5) as total, row_number() over (partition by query_id order by round(total, 9) desc, source) = 1 as best from s""")
+select query_id, source, round(total, 8) as total, row_number() over (partition by query_id order by round(total, 9) desc, source) = 1 as best from s""")
 def r18(t):
-    return V.document_scores(full_retrieval(t), "source").withColumn("total", F.round("total", 5))
+    return V.document_scores(full_retrieval(t), "source").withColumn("total", F.round("total", 8))
 
 
 @query("r19_outline_boost", f"""with {FULL}, top as (select * from kept where rank <= 10), ex as (select query_id, doc_id + 1 as doc_id, 0.25 as score from top where rank <= 5 union all select query_id, doc_id, 0.05 from top where rank > 5),
  e2 as (select query_id, doc_id, sum(score)::double as score from ex group by all),
- s as (select coalesce(a.query_id, b.query_id) as query_id, coalesce(a.doc_id, b.doc_id) as doc_id, round(coalesce(similarity, 0) + coalesce(score, 0), 5) as similarity from top a full join e2 b on a.query_id = b.query_id and a.doc_id = b.doc_id)
+ s as (select coalesce(a.query_id, b.query_id) as query_id, coalesce(a.doc_id, b.doc_id) as doc_id, round(coalesce(similarity, 0) + coalesce(score, 0), 8) as similarity from top a full join e2 b on a.query_id = b.query_id and a.doc_id = b.doc_id)
 select query_id, doc_id, similarity, row_number() over (partition by query_id order by similarity desc, doc_id) as rank from s qualify row_number() over (partition by query_id order by similarity desc, doc_id) <= 6""")
 def r19(t):
     top = full_retrieval(t).filter(F.col("rank") <= 10)
     near = F.col("rank") <= 5
     extra = top.select("query_id", F.when(near, F.col("doc_id") + 1).otherwise(F.col("doc_id")).alias("doc_id"), F.when(near, 0.25).otherwise(0.05).alias("score"))
     extra = extra.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
-    out = V.outline_boost(top.withColumn("similarity", F.round("similarity", 5)), extra, "doc_id", 1000).withColumn("similarity", F.round("similarity", 5))
+    out = V.outline_boost(top.withColumn("similarity", F.round("similarity", 8)), extra, "doc_id", 1000).withColumn("similarity", F.round("similarity", 8))
     return top_k(out.drop("rank"), "query_id", [F.col("similarity").desc(), F.col("doc_id")], 6)
 
 
@@ -329,7 +329,7 @@ ANSWERS = rf"""ans as (select conv_id * 1000 + turn as answer, text from convers
  qs as (select query_id, {sql_tokens('ptext')} as tks from pc), {STATS}, {WEIGHTS}, {SIMILAR}, {features_sql(sql_tokens('text'), 'documents')},
  pairs as (select pc.answer, piece, query_id, doc_id from pc join cnd using (answer)),
  tsx as (select p.query_id, p.doc_id, sum(x) as x from pairs p join qf on qf.query_id = p.query_id join dfe on dfe.doc_id = p.doc_id and dfe.f = qf.f group by all),
- sims as (select answer, piece, doc_id, round(0.1 * round((coalesce(x, 0) + 1e-9) / (s + 1e-9), 6) + 0.9 * {cos_sql('pv.v', 'dv.v')}, 5) as similarity
+ sims as (select answer, piece, doc_id, round(0.1 * round((coalesce(x, 0) + 1e-9) / (s + 1e-9), 6) + 0.9 * {cos_sql('pv.v', 'dv.v')}, 8) as similarity
    from pairs join qsum using (query_id) left join tsx using (query_id, doc_id) join pv using (query_id) join dv using (doc_id))"""
 
 
@@ -345,7 +345,7 @@ def piece_similarities(t):
     vec = pieces.select("query_id", VEC.hash_embedding(F.col("piece_text")).alias("a"))
     cos = F.round(VEC.cosine(F.col("a"), F.col("vector")), 6)
     both = pairs.join(terms, ["query_id", "doc_id"]).join(vec, "query_id").join(vectors, "doc_id")
-    return both.select("answer", "piece", "doc_id", F.round(0.1 * F.round("term_similarity", 6) + 0.9 * cos, 5).alias("similarity"))
+    return both.select("answer", "piece", "doc_id", F.round(0.1 * F.round("term_similarity", 6) + 0.9 * cos, 8).alias("similarity"))
 
 
 @query("j14_answer_piece_join", f"with {ANSWERS} select answer, piece, doc_id, similarity from sims")
@@ -370,7 +370,7 @@ def r21(t):
 
 
 @query("r22_modes_with_fallback", f"""with {BASE}, {match_sql(0.6)}, {VECS}, vh as (select query_id, doc_id, similarity as score from sim where similarity >= 0.6),
- hy as (select txt.query_id, txt.doc_id, round(0.5 * txt.score + 0.5 * vh.score, 6) as score from txt join vh using (query_id, doc_id) where vh.score >= 0.9),
+ hy as (select txt.query_id, txt.doc_id, round(0.5 * txt.score + 0.5 * vh.score, 8) as score from txt join vh using (query_id, doc_id) where vh.score >= 0.9),
  m as (select item_id as query_id, case when item_id < (select count(*) / 4 from benchmark) then 'keyword' when item_id < (select count(*) / 2 from benchmark) then 'vector' else 'hybrid' end as mode from benchmark)
 select query_id, doc_id, score, 'keyword' as mode from txt join m using (query_id) where mode = 'keyword' union all select query_id, doc_id, score, 'vector' from vh join m using (query_id) where mode = 'vector'
 union all select query_id, doc_id, score, 'hybrid' from hy join m using (query_id) where mode = 'hybrid'
@@ -379,7 +379,7 @@ def r22(t):
     keyword = text_hits(t, share=0.6).select("query_id", "doc_id", "score")
     near = vector_hits(t, threshold=0.6).withColumnRenamed("similarity", "score")
     strong = near.filter(F.col("score") >= 0.9).withColumnRenamed("score", "v")
-    hybrid = keyword.join(strong, ["query_id", "doc_id"]).select("query_id", "doc_id", F.round(0.5 * F.col("score") + 0.5 * F.col("v"), 6).alias("score"))
+    hybrid = keyword.join(strong, ["query_id", "doc_id"]).select("query_id", "doc_id", F.round(0.5 * F.col("score") + 0.5 * F.col("v"), 8).alias("score"))
     n = t.benchmark.agg(F.count("*")).scalar()
     q = F.col("query_id")
     wanted = bench_queries(t).select("query_id", F.when(q < n / 4, "keyword").when(q < n / 2, "vector").otherwise("hybrid").alias("mode"))
@@ -473,9 +473,9 @@ def r28(t):
 
 
 @query("j8_parent_roll_up", f"""with {FULL}, c as (select query_id, doc_id, source, similarity from kept), par as (select source, md5(source) as text from documents where source <> 'src7' group by 1)
-select query_id, c.source as chunk, round(avg(similarity), 6) as similarity, count(*) as children, any_value(par.text) as text from c join par using (source) group by query_id, c.source
+select query_id, c.source as chunk, round(avg(similarity), 9) as similarity, count(*) as children, any_value(par.text) as text from c join par using (source) group by query_id, c.source
 union all select query_id, cast(doc_id as varchar), similarity, 0, 'child' from c where source = 'src7'""")
 def j8(t):
     hits = full_retrieval(t).select("query_id", F.col("doc_id").cast("string").alias("chunk"), F.col("source").alias("parent_id"), F.lit("child").alias("text"), "similarity")
     parents = t.documents.filter(F.col("source") != "src7").select(F.col("source").alias("parent_id")).distinct().withColumn("text", F.md5("parent_id"))
-    return V.roll_up_children(hits, parents, "chunk").withColumn("similarity", F.round("similarity", 6))
+    return V.roll_up_children(hits, parents, "chunk").withColumn("similarity", F.round("similarity", 9))

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom.session import configure
 
 
+# Key of the tables whose rows are long texts or vectors, worth spreading over all cores.
+HEAVY_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "embeddings": "vec_id"}
+
+
 class Tables:
     """Lazy access to the parquet tables of one directory: ``t.orders``."""
 
@@ -20,7 +24,13 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        key = HEAVY_TABLES.get(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        if key and len(df.inputFiles()) < cores:
+            # Few files mean few tasks; a data set of many files is read as it lies.
+            df = df.repartition(cores, *([key, "turn"] if name == "conversations" else [key]))
+        return df
 
 
 @dataclass(frozen=True)

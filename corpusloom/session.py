@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +54,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and read it back, so lost executors cost nothing."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path inside the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
