@@ -141,7 +141,7 @@ def record_documents(
 
 
 FEED_SCHEMA = "guid string, link string, title string, summary string, content array<string>, updated string, published string, author string, category array<string>"
-FEED_TIME = "EEE, dd MMM yyyy HH:mm:ss Z"
+FEED_TIME = "d MMM yyyy HH:mm:ss Z"  # after the week day
 
 
 def feed_entries(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame:
@@ -159,7 +159,8 @@ def feed_documents(entries: DataFrame, feed_url: str, start=None, end=None) -> D
     joined = decode(F.array_join(F.coalesce("content", F.array().cast("array<string>")), "\u0001"))
     blocks = F.filter(F.transform(F.split(joined, "\u0001"), lines), lambda s: s != "")
     body = F.when(F.size(blocks) > 0, F.array_join(blocks, "\n\n")).otherwise(lines(decode(F.coalesce("summary", F.lit("")))))
-    when = F.coalesce(F.try_to_timestamp("updated", F.lit(FEED_TIME)), F.try_to_timestamp("published", F.lit(FEED_TIME)))
+    stamp = lambda c: F.try_to_timestamp(F.regexp_replace(c, r"^\s*[A-Za-z]{3},\s*", ""), F.lit(FEED_TIME))
+    when = F.coalesce(stamp("updated"), stamp("published"))
     out = entries.select(
         F.concat(F.lit("rss:"), F.md5(key)).alias("id"), title.alias("title"), X.strip(F.concat_ws("\n\n", title, F.nullif(body, F.lit("")))).alias("text"),
         when.alias("updated_at"), F.coalesce("category", F.array().cast("array<string>")).alias("categories"))
