@@ -55,8 +55,7 @@ def cooccurrences(found: DataFrame, chunk: str, distance: int = 0, strength: flo
     The join key holds the sentence, so a name meets its neighbourhood, not its whole chunk. ``strength=None`` weighs
     an edge by the share of both names among all name occurrences of the chunk, at least 0.01.
     """
-    offsets = F.explode(F.sequence(F.lit(-distance), F.lit(distance)))
-    left = found.select(chunk, F.col("name").alias("src"), (F.col("sent") + offsets).alias("sent")) if distance else found.select(chunk, F.col("name").alias("src"), "sent")
+    left = found.select(chunk, F.col("name").alias("src"), F.explode(F.sequence(F.col("sent") - distance, F.col("sent") + distance)).alias("sent"))
     right = found.select(chunk, F.col("name").alias("dst"), "sent")
     pairs = left.join(right, [chunk, "sent"]).filter(F.col("src") < F.col("dst")).select(chunk, "src", "dst").distinct()
     if strength is not None:

@@ -58,7 +58,7 @@ _RUN = r"\p{Lu}[\p{L}\p{N}-]*(?: (?:(?:of|in|on|at|for|and|or|the|a|an|to) )*\p{
 MENTIONS_SQL = rf"""{LINES_SQL}, ch as (select doc_id || '-' || pos as chunk, line from li),
  sn as (select chunk, unnest(l) as s, generate_subscripts(l, 1) - 1 as sent from (select chunk, regexp_split_to_array(line, '[.!?。！？\n]') as l from ch)),
  rn as (select chunk, sent, unnest(regexp_extract_all(s, '{_RUN}')) as run from sn),
- mn as (select distinct chunk, sent, upper(name) as name from (select chunk, sent, unnest([run] || regexp_split_to_array(run, ' (?:and|or) (?:the |a |an )?')) as name from rn))"""
+ mn as (select distinct chunk, sent, replace(upper(name), 'ẞ', 'SS') as name from (select chunk, sent, unnest([run] || regexp_split_to_array(run, ' (?:and|or) (?:the |a |an )?')) as name from rn))"""
 
 
 def line_chunks(t):
@@ -70,21 +70,21 @@ def line_mentions(t):
     return G.mentions(line_chunks(t), "chunk", "line")
 
 
-@query("n2_entity_mentions", f"with {MENTIONS_SQL} select chunk, sent, replace(name, 'ẞ', 'SS') as name from mn")
+@query("n2_entity_mentions", f"with {MENTIONS_SQL} select chunk, sent, name from mn")
 def n2(t):
     return line_mentions(t).select("chunk", F.col("sent").cast("long").alias("sent"), "name")
 
 
 @query("n3_sentence_cooccurrence", f"""with {MENTIONS_SQL},
  pr as (select distinct a.chunk, a.name as src, b.name as dst from mn a join mn b on a.chunk = b.chunk and abs(a.sent - b.sent) <= 1 and a.name < b.name)
-select chunk, md5(replace(src, 'ẞ', 'SS') || '|' || replace(dst, 'ẞ', 'SS')) as pair, 2.0::double as weight from pr""")
+select chunk, md5(src || '|' || dst) as pair, 2.0::double as weight from pr""")
 def n3(t):
     pairs = G.cooccurrences(line_mentions(t), "chunk", 1, 2.0)
     return pairs.select("chunk", F.md5(F.concat_ws("|", "src", "dst")).alias("pair"), "weight")
 
 
 @query("n3_cooccurrence_shares", f"""with {MENTIONS_SQL},
- mm as (select chunk, sent, replace(name, 'ẞ', 'SS') as name from mn), up as (select chunk, replace(upper(line), 'ẞ', 'SS') as u from ch),
+ mm as (select * from mn), up as (select chunk, replace(upper(line), 'ẞ', 'SS') as u from ch),
  ct as (select chunk, name, (length(u) - length(replace(u, name, ''))) / length(name) as c from (select distinct chunk, name from mm) join up using (chunk)),
  sh as (select *, c / sum(c) over (partition by chunk) as tf from ct),
  pr as (select distinct a.chunk, a.name as src, b.name as dst from mm a join mm b on a.chunk = b.chunk and a.sent = b.sent and a.name < b.name)

@@ -12,6 +12,16 @@ from corpusloom.session import scratch_path
 from corpusloom.sources import readers as S, sinks
 
 
+def write_files(rows, path, head, foot=None, files=8):
+    """Text files of ``(k, value)`` rows in key order, each with its own first and last line."""
+    bucketed = rows.select(F.pmod("k", F.lit(files)).alias("bucket"), F.lit(1).alias("part"), "k", "value")
+    edge = lambda part, text: bucketed.select("bucket").distinct().select("bucket", F.lit(part).alias("part"), F.lit(0).cast("long").alias("k"), F.lit(text).alias("value"))
+    every = bucketed.unionByName(edge(0, head))
+    if foot:
+        every = every.unionByName(edge(2, foot))
+    every.repartition("bucket").sortWithinPartitions("bucket", "part", "k").select("bucket", "value").write.partitionBy("bucket").text(path)
+
+
 @query("s1_parquet_passages", f"""
 select doc_id, pos, contains(line, 'the') as rel, md5(line) as text from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents)""")
 def s1(t):
@@ -42,9 +52,7 @@ union all select cast(c_custkey as varchar), c_name, 'bad' from customer where c
 def s3(t):
     path = scratch_path(t.spark, "table")
     line = F.concat_ws(",", "c_custkey", "c_name", F.when(F.col("c_mktsegment") == "HOUSEHOLD", "x,y").otherwise(F.col("c_mktsegment")))
-    header = t.spark.range(1).select(F.lit("c_custkey,c_name,c_mktsegment").alias("value"), F.lit(-1).cast("long").alias("k"))
-    rows = header.unionByName(t.customer.select(line.alias("value"), F.col("c_custkey").alias("k")))
-    rows.coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
+    write_files(t.customer.select(line.alias("value"), F.col("c_custkey").alias("k")), path, head="c_custkey,c_name,c_mktsegment")
     good, bad = S.delimited_table(t.spark, path)
     bad_cells = F.split("value", ",")
     return good.select(F.col("cells")["c_custkey"].alias("c_custkey"), F.col("cells")["c_name"].alias("c_name"), F.lit("good").alias("kind")).unionByName(
@@ -129,7 +137,7 @@ def s10(t):
         F.lit("<item>"), optional(pid % 3 == 0, tag("guid", F.concat(F.lit("g"), "page_id"))), optional(pid % 3 != 2, tag("link", F.concat("url", F.lit("#"), "page_id"))),
         tag("title", F.concat(F.lit(" T "), "page_id")), optional(pid % 2 == 0, tag("content", F.lit("<p>body &amp; more</p>"))), tag("summary", F.lit("<i>short</i>")),
         F.when(pid % 5 == 0, tag("published", day)).otherwise(tag("updated", day)), F.lit("</item>"))
-    t.pages.select(item.alias("value")).write.text(path)
+    write_files(t.pages.select(item.alias("value"), pid.alias("k")), path, head="<rss>", foot="</rss>")
     docs = S.feed_documents(S.feed_entries(t.spark, path), "feed", "2024-01-03 10:00:00", "2024-01-20 10:00:00")
     return docs.select("id", "title", "text", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated"))
 
