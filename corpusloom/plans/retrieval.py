@@ -12,6 +12,7 @@ from corpusloom.plans.chunking import NEWLINED, exploded_sql, fold_sql
 from corpusloom.plans.ranking import MESSAGES_SQL, line_shares, messages, SPLIT_SQL
 from corpusloom.plans.text import _sql_normalized, sql_tokens
 from corpusloom.registry import query
+from corpusloom.session import cut_lineage
 
 # --- SQL pieces -----------------------------------------------------------------------------------------------
 
@@ -424,6 +425,9 @@ CHUNKED = f"""{exploded_sql(NEWLINED)}, {fold_sql('src', 'f.acc > 128')},
  ckk as (select doc_id, row_number() over (partition by doc_id order by g) - 1 as cpos, text from ck where trim(text, E' \\t\\n\\r\\x0b\\x0c') <> '')"""
 
 
+CHUNK_IDS = 1 << 20  # room for the chunks of one document
+
+
 @query("r26_retrieval_evaluation", f"""with recursive {CHUNKED}, {QS}, {STATS}, {WEIGHTS},
  fields as (select doc_id, cpos, unnest(list_distinct({sql_tokens('text')})) as term from ckk), aq as (select query_id, term, sum(weight) as weight from w group by all),
  fidf as (select term, ln(1 + (nn - n + 0.5) / (n + 0.5)) / ln(1 + (nn - 0.5) / 1.5) as idf from (select term, count(*) as n from fields group by all), (select count(*) as nn from ckk)),
@@ -436,10 +440,10 @@ select cast(query_id as varchar) as query, round(ndcg10, 6) as ndcg10, round(map
 union all select 'all', round(avg(ndcg10), 6), round(avg(map5), 6), round(avg(mrr10), 6) from scores""")
 def r26(t):
     """Corpus to chunks to term statistics to ranked documents to nDCG, MAP and MRR."""
-    chunks = C.merge_sections(t.documents, "doc_id", "text", 128).withColumn("chunk_id", F.concat_ws("-", "doc_id", "pos"))
+    chunks = cut_lineage(C.merge_sections(t.documents, "doc_id", "text", 128)).withColumn("chunk_id", F.col("doc_id") * CHUNK_IDS + F.col("pos"))
     postings = V.field_postings(chunks, "chunk_id", {"content_ltks": X.tokens(F.col("text"))})
     hits = V.match_text(weighted_queries(t), postings, chunks.agg(F.count("*")).scalar(), "chunk_id")
-    per_doc = hits.select("query_id", F.split_part("chunk_id", F.lit("-"), F.lit(1)).cast("long").alias("doc_id"), F.round("score", 6).alias("score"))
+    per_doc = hits.select("query_id", F.floor(F.col("chunk_id") / CHUNK_IDS).alias("doc_id"), F.round("score", 6).alias("score"))
     best = per_doc.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
     run = top_k(best, "query_id", [F.col("score").desc(), F.col("doc_id")], 30)
     judged = V.containment_judgments(t.benchmark, "item_id", t.documents, "doc_id").withColumnRenamed("item_id", "query_id")
