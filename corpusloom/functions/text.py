@@ -44,10 +44,14 @@ def strip(c: Column) -> Column:
 # --- clean-up -------------------------------------------------------------------------------------
 
 
+# Where a space is redundant, after opening and before closing punctuation.
+SPACE_AFTER = r"(?i)([^a-z0-9.,\)>]) +([^ ])"
+SPACE_BEFORE = r"(?i)([^ ]) +([^a-z0-9.,\(<])"
+
+
 def remove_redundant_spaces(c: Column) -> Column:
     """Drop spaces after opening and before closing punctuation."""
-    opened = F.regexp_replace(c, r"(?i)([^a-z0-9.,\)>]) +([^ ])", "$1$2")
-    return F.regexp_replace(opened, r"(?i)([^ ]) +([^a-z0-9.,\(<])", "$1$2")
+    return F.regexp_replace(F.regexp_replace(c, SPACE_AFTER, "$1$2"), SPACE_BEFORE, "$1$2")
 
 
 def clean_markdown_block(c: Column) -> Column:
@@ -414,6 +418,9 @@ def bigram_similarity(left: Column, right: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.size(b), F.lit(1))
 
 
+WORD_EDGE = r"""[ .?/'"()!,:;-]"""  # fixed value: characters a keyword may stand between
+
+
 def highlight(c: Column, keywords, mode: str = "words") -> Column:
     """Wrap keyword matches in ``<em>`` and keep only the sentences that have one.
 
@@ -421,7 +428,7 @@ def highlight(c: Column, keywords, mode: str = "words") -> Column:
     decides per sentence with :func:`is_english`.
     """
     flat = F.regexp_replace(c, "[\r\n]", " ")
-    edge = r"""[ .?/'"()!,:;-]"""
+    edge = WORD_EDGE
 
     def by_words(s):
         for word in keywords:

@@ -253,12 +253,13 @@ def batch_rows(rows: Column, size: int = 10, separator: str = "; ") -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(rows, i * size + 1, size), separator))
 
 
-RESERVED_COLUMNS = ("id", "_id", "index", "idx")
+RESERVED_COLUMNS = ("id", "_id", "index", "idx")  # fixed values
+HEADER_REMARKS = r"(/.*|（[^（）]+?）|\([^()]+?\))"  # fixed value
 
 
 def clean_header(name: str) -> str:
     """Column name without alternatives after a slash and remarks in parentheses."""
-    return re.sub(r"(/.*|（[^（）]+?）|\([^()]+?\))", "", name)
+    return re.sub(HEADER_REMARKS, "", name)
 
 
 def row_chunks(df: DataFrame, roles: dict[str, str] | None = None, keep=()) -> DataFrame:
@@ -278,17 +279,20 @@ def row_chunks(df: DataFrame, roles: dict[str, str] | None = None, keep=()) -> D
     return out.filter((F.col("text") != "") | (F.size("chunk_data") > 0))
 
 
+# Shapes of tables in markdown.
+BORDERED_TABLE = r"(?d)(?:\n|\A)(?:\|.*?\|.*?\|.*?\n)(?:\|(?:\s*[:-]+[-| :]*\s*)\|.*?\n)(?:\|.*?\|.*?\|.*?\n)+"
+BORDERLESS_TABLE = r"(?d)(?:\n|\A)(?:\S.*?\|.*?\n)(?:(?:\s*[:-]+[-| :]*\s*).*?\n)(?:\S.*?\|.*?\n)+"
+HTML_TABLE = (
+    r"(?is)(?:\n|\A)\s*(?:(?:<html[^>]*>\s*<body[^>]*>\s*<table[^>]*>.*?</table>\s*</body>\s*</html>)"
+    r"|(?:<body[^>]*>\s*<table[^>]*>.*?</table>\s*</body>)|(?:<table[^>]*>.*?</table>))\s*(?=\n|\z)"
+)
+
+
 def lift_tables(text: Column) -> tuple[Column, Column]:
     """(remainder, tables): bordered, borderless and HTML tables taken out of markdown."""
-    bordered = r"(?d)(?:\n|\A)(?:\|.*?\|.*?\|.*?\n)(?:\|(?:\s*[:-]+[-| :]*\s*)\|.*?\n)(?:\|.*?\|.*?\|.*?\n)+"
-    borderless = r"(?d)(?:\n|\A)(?:\S.*?\|.*?\n)(?:(?:\s*[:-]+[-| :]*\s*).*?\n)(?:\S.*?\|.*?\n)+"
-    html = (
-        r"(?is)(?:\n|\A)\s*(?:(?:<html[^>]*>\s*<body[^>]*>\s*<table[^>]*>.*?</table>\s*</body>\s*</html>)"
-        r"|(?:<body[^>]*>\s*<table[^>]*>.*?</table>\s*</body>)|(?:<table[^>]*>.*?</table>))\s*(?=\n|\z)"
-    )
     tables = []
-    for pattern in (bordered, borderless, html):
-        if pattern is html:
+    for pattern in (BORDERED_TABLE, BORDERLESS_TABLE, HTML_TABLE):
+        if pattern is HTML_TABLE:
             text = F.regexp_replace(text, r"(?i)<(table|td|tr|th|tbody|thead|div)[^>]*>", "<$1>")
         tables.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
         text = F.regexp_replace(text, pattern, "\n\n")

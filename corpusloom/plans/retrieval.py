@@ -79,7 +79,7 @@ def text_hits(t, docs=None, share=0.3, weighted=None):
     fields = {"content_ltks": X.tokens(F.col("text")), "title_tks": X.tokens(F.split("text", "\n")[0])}
     postings = V.field_postings(docs, "doc_id", fields)
     weighted = weighted_queries(t) if weighted is None else weighted
-    hits = V.match_text(weighted, postings, docs.agg(F.count("*")).scalar(), "doc_id", min_match=share)
+    hits = V.match_text(weighted, postings, docs.agg(F.count("*")).scalar(), "doc_id", min_match=share, boosts={n: V.FIELD_BOOSTS[n] for n in fields})
     return hits.withColumn("score", F.round("score", 6))
 
 
@@ -442,7 +442,7 @@ def r26(t):
     """Corpus to chunks to term statistics to ranked documents to nDCG, MAP and MRR."""
     chunks = cut_lineage(C.merge_sections(t.documents, "doc_id", "text", 128)).withColumn("chunk_id", F.col("doc_id") * CHUNK_IDS + F.col("pos"))
     postings = V.field_postings(chunks, "chunk_id", {"content_ltks": X.tokens(F.col("text"))})
-    hits = V.match_text(weighted_queries(t), postings, chunks.agg(F.count("*")).scalar(), "chunk_id")
+    hits = V.match_text(weighted_queries(t), postings, chunks.agg(F.count("*")).scalar(), "chunk_id", boosts={"content_ltks": 2.0})
     per_doc = hits.select("query_id", F.floor(F.col("chunk_id") / CHUNK_IDS).alias("doc_id"), F.round("score", 6).alias("score"))
     best = per_doc.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
     run = top_k(best, "query_id", [F.col("score").desc(), F.col("doc_id")], 30)
