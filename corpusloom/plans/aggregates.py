@@ -10,6 +10,7 @@ from corpusloom.operators.running import blocks
 from corpusloom.plans.predicates import META_SQL, doc_meta
 from corpusloom.plans.text import sql_tokens
 from corpusloom.registry import query
+from corpusloom.session import cut_lineage
 
 
 @query("g1_terms_aggregation", """
@@ -125,7 +126,8 @@ def overlap_run(t):
     """Documents ranked by shared distinct terms, best 30 per benchmark passage, and the judgments."""
     hits = V.term_overlap(t.benchmark, "item_id", t.documents, "doc_id")
     run = V.top_k(hits, "item_id", [F.col("n").desc(), F.col("doc_id")], 30).withColumnRenamed("item_id", "query_id")
-    return run, V.containment_judgments(t.benchmark, "item_id", t.documents, "doc_id").withColumnRenamed("item_id", "query_id")
+    judged = V.containment_judgments(t.benchmark, "item_id", t.documents, "doc_id").withColumnRenamed("item_id", "query_id")
+    return cut_lineage(run), cut_lineage(judged)  # small, and read several times by the metrics
 
 
 @query("g12_retrieval_metrics", f"""with {RUN_SQL}

@@ -71,7 +71,8 @@ def bench_queries(t):
 
 
 def weighted_queries(t):
-    return V.term_weights(V.query_terms(bench_queries(t)), V.term_statistics(t.documents, "doc_id"))
+    """Weighted query terms; a small table that every search below reads several times."""
+    return cut_lineage(V.term_weights(V.query_terms(bench_queries(t)), V.term_statistics(t.documents, "doc_id")))
 
 
 def text_hits(t, docs=None, share=0.3, weighted=None):
@@ -280,7 +281,7 @@ def full_retrieval(t):
     every = vector_hits(t, docs)
     near = K.threshold_rank(every, "query_id", "similarity", 0.1, "doc_id", k=100)
     candidates = V.weighted_fusion(V.fuse_candidates(text_hits(t, docs, 0.3, weighted), near, "doc_id")).withColumn("score", F.round("score", 9))
-    pool = top_k(candidates, "query_id", [F.col("score").desc(), F.col("doc_id")], 64).select("query_id", "doc_id")
+    pool = cut_lineage(top_k(candidates, "query_id", [F.col("score").desc(), F.col("doc_id")], 64).select("query_id", "doc_id"))
     terms = V.token_similarity(weighted, boosted(docs), "doc_id", pairs=pool).withColumn("term_similarity", F.round("term_similarity", 6))
     parts = terms.join(every.withColumnRenamed("similarity", "vector_similarity"), ["query_id", "doc_id"]).join(docs.select("doc_id", "source"), "doc_id")
     scored = V.hybrid_similarity(parts).withColumn("similarity", F.round("similarity", 8))
@@ -445,9 +446,10 @@ def r26(t):
     hits = V.match_text(weighted_queries(t), postings, chunks.agg(F.count("*")).scalar(), "chunk_id", boosts={"content_ltks": 2.0})
     per_doc = hits.select("query_id", F.floor(F.col("chunk_id") / CHUNK_IDS).alias("doc_id"), F.round("score", 6).alias("score"))
     best = per_doc.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
-    run = top_k(best, "query_id", [F.col("score").desc(), F.col("doc_id")], 30)
-    judged = V.containment_judgments(t.benchmark, "item_id", t.documents, "doc_id").withColumnRenamed("item_id", "query_id")
-    scores = A.ranking_metrics(run, judged)
+    # The ranked lists, judgments and scores are small next to the corpus and read more than once.
+    run = cut_lineage(top_k(best, "query_id", [F.col("score").desc(), F.col("doc_id")], 30))
+    judged = cut_lineage(V.containment_judgments(t.benchmark, "item_id", t.documents, "doc_id").withColumnRenamed("item_id", "query_id"))
+    scores = cut_lineage(A.ranking_metrics(run, judged))
     whole = scores.agg(*[F.avg(c).alias(c) for c in ("ndcg10", "map5", "mrr10")]).withColumn("query", F.lit("all"))
     every = scores.select(F.col("query_id").cast("string").alias("query"), "ndcg10", "map5", "mrr10").unionByName(whole)
     return every.select("query", *[F.round(c, 6).alias(c) for c in ("ndcg10", "map5", "mrr10")])
