@@ -295,8 +295,8 @@ def k18(t):
 
 def _level_sql(index: int) -> str:
     cases = " ".join(f"when regexp_matches(s, {q(f'^(?:{p})')}) and not regexp_matches(s, {q(C.NOT_BULLET)}) then {i}" for i, p in enumerate(C.BULLET_FAMILIES[index]))
-    n = len(C.BULLET_FAMILIES[index])
-    return f"case {cases} when pos = 0 and not (len(list_filter(regexp_split_to_array(s, '\\s+'), lambda w: w <> '')) > 12 or (not contains(s, ' ') and length(s) >= 32) or regexp_matches(s, '[,;，。；！!]')) then {n} else {n + 1} end"
+    n, t = len(C.BULLET_FAMILIES[index]), "split_part(s, '@', 1)"
+    return f"case {cases} when pos = 0 and not (len(list_filter(regexp_split_to_array({t}, '\\s+'), lambda w: w <> '')) > 12 or (not contains({t}, ' ') and length({t}) >= 32) or regexp_matches({t}, '[,;，。；！!]')) then {n} else {n + 1} end"
 
 
 @query("k19_line_levels", f"""with {NUMBERED_SQL}, e as (select doc_id, lang, unnest(sl) as s, generate_subscripts(sl, 1) - 1 as pos from st)

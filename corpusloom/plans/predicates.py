@@ -399,9 +399,9 @@ def p28(t):
 
 
 @query("p29_name_allow_list", """
-select p_partkey, 'exact' as mode from part where p_name in ('red bolt', 'blue gear') union all
+select p_partkey, 'exact' as mode from part where p_name in ('red bolt', 'blue bolt') union all
 select p_partkey, 'regex' from part where regexp_full_match(p_name, 'small .*|.* ring') union all select p_partkey, 'all' from part""")
 def p29(t):
-    exact = P.allow_list(t.part, "p_name", ["red bolt", "blue gear"]).select("p_partkey", F.lit("exact").alias("mode"))
+    exact = P.allow_list(t.part, "p_name", ["red bolt", "blue bolt"]).select("p_partkey", F.lit("exact").alias("mode"))
     regex = P.allow_list(t.part, "p_name", ["small .*", ".* ring"], regex=True).select("p_partkey", F.lit("regex").alias("mode"))
     return exact.unionByName(regex).unionByName(P.allow_list(t.part, "p_name", []).select("p_partkey", F.lit("all").alias("mode")))

@@ -270,3 +270,18 @@ def test_no_cross_joins_in_search(spark, data):
 def test_unit_vectors(spark):
     got = spark.range(1).select(VEC.unit(F.array(F.lit(3.0), F.lit(4.0))).alias("u")).first().u
     assert got == [0.6, 0.8]
+
+
+def test_merged_metadata_over_a_union_of_repartitioned_inputs(spark, data):
+    t = Tables(spark, data)
+    row = lambda pos, value, is_list: t.documents.select(
+        "doc_id", F.lit(pos).alias("pos"), F.lit(0).alias("idx"), F.lit("k").alias("key"), F.lit(value).alias("value"), F.lit(is_list).alias("is_list"))
+    out = entry_merge(row(1, "gone", False).unionByName(row(2, "a", True)).unionByName(row(3, "b", False)))
+    n = t.documents.count()
+    assert sorted((r["value"], r["count"]) for r in out.groupBy("value").count().collect()) == [("a", n), ("b", n)]
+
+
+def entry_merge(entries):
+    from corpusloom.operators.aggregates import merge_metadata
+
+    return merge_metadata(entries)
