@@ -4,11 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.llm import quality
+from corpusloom.llm import decontamination, licenses, mixing, quality, sharding, warc
 from corpusloom.llm.registry import register, table
+from corpusloom.session import scratch_path
 
 WORDS_SQL = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 
+WARC_SQL = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select page_id, strlen(h) as payload_bytes, sha1(h) as x, min(page_id) over (partition by h) as first from p),
+c as (select *, list_aggregate([to_base(('0x' || substr(x, 5 * i + 1, 5))::bigint, 32, 4) for i in range(8)], 'string_agg', '') as b from d)
+select page_id, payload_bytes, translate(upper(b), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') as payload_digest,
+  case when page_id is null or page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to from c"""
+
+LOWER_SQL = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALNUM_SQL = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+CONTAMINATION_SQL = f"""
+with d as (select row_number() over () as k, doc_id, {ALNUM_SQL.format(LOWER_SQL.format('text'))} as ws from documents),
+it as (select item_id::varchar as item, {ALNUM_SQL.format(LOWER_SQL.format('text'))} as ws from benchmark),
+win as (select distinct item, list_aggregate(ws[i:i + 12], 'string_agg', ' ') as phrase, len(ws[i:i + 12]) as n
+  from (select item, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) as i from it where len(ws) > 0)),
+lens as (select distinct n from win),
+runs as (select k, i, n, list_aggregate(ws[i:i + n - 1], 'string_agg', ' ') as phrase from (select k, ws, n, unnest(range(1, len(ws) - n + 2)) as i from d, lens where len(ws) >= n)),
+hit as (select k, i, runs.n, item from runs join win using (phrase)),
+words as (select k, count(distinct p) as n_hit from (select k, unnest(range(i, i + n)) as p from hit) group by k),
+items as (select k, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as listed from hit group by k),
+a as (select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(listed, '')) as items_sha256 from d left join words using (k) left join items using (k))
+select *, n_hit > 0 and 20 * n_hit >= n_words as contaminated from a"""
+
 QUALITY_SQL = rf"""
 with d as (select row_number() over () as k, doc_id, coalesce(text, '') as t from documents),
 w as (select k, doc_id, t, {WORDS_SQL.format('t')} as ws from d),
@@ -33,3 +57,37 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", quality.line_quality(F.col("text")).alias("q"))
     return docs.select("doc_id", *[f"q.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
+@register("op1_hypergeometric_shards")
+def op1(spark, sf_dir):
+    placed = sharding.shuffle_into_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
+    text = F.coalesce("text", F.lit(""))
+    return placed.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op2_pivotal_mix")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(F.col("doc_id").alias("key"), "source", mixing.word_count(F.col("text")).alias("size"))
+    mixed = mixing.mix_counts(rows)
+    return mixed.select(F.col("key").alias("doc_id"), "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+@register("op4_license_scan")
+def op4(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@register("op5_warc_round_trip", WARC_SQL)
+def op5(spark, sf_dir):
+    path = scratch_path(spark, "archives")
+    warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")), path)
+    read = warc.read_archives(spark, path)
+    return read.select(warc.page_of(F.col("origin")).alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
+@register("op7_decontamination", CONTAMINATION_SQL)
+def op7(spark, sf_dir):
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
