@@ -6,8 +6,9 @@ A window is looked up by its rarest words first: a posting minus the word's offs
 begin, and the offset-adjusted lists of the two words are intersected. What is left is verified against the document's words: all
 equal is an exact phrase match, ``near`` of them in place is a proximity match.
 
-Three reads of the documents (word counts, postings, verification), no shuffle of texts while the candidate documents fit
-``BROADCAST_ROWS``; beyond it they meet their texts in a shuffle join. Postings are spread by document, so a word or a
+The documents are cut into words twice (word counts, postings) and the candidates once more. Each document has one
+more posting, of the empty word, at the position behind its last word: its length. No text is shuffled while the candidate documents
+fit ``BROADCAST_ROWS``; beyond it they meet their texts in a shuffle join. Postings are spread by document, so a word or a
 passage that a third of all documents has makes no large group. Only DataFrame functions are used.
 
 Null and empty texts have no words and are never contaminated; items without words are dropped; repeated rows, repeated
@@ -37,10 +38,11 @@ def windows_of(items: DataFrame, item: str, text: str, size: int) -> DataFrame:
     return cut.select("item", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("p")).select("item", F.array_join("p", " ").alias("phrase"), F.size("p").alias("len")).distinct()
 
 
-def _terms(docs: DataFrame, wanted: DataFrame, keep: list[str]) -> DataFrame:
-    """Each place of a wanted ``term`` in ``docs (w, ...)``."""
-    out = docs.select(*keep, F.posexplode("w").alias("pos", "raw")).withColumn("term", lower_ascii(F.col("raw"))).drop("raw")
-    return out.join(wanted, "term")
+def _terms(docs: DataFrame, wanted: DataFrame, keep: list[str], more: Column | None = None) -> DataFrame:
+    """Each place of a wanted ``term`` in ``docs (text, ...)``; ``more`` is an array of words behind the text's own."""
+    words = alnum_words(F.col("text"))
+    out = docs.select(*keep, F.posexplode(words if more is None else F.concat(words, more)).alias("pos", "raw"))
+    return out.withColumn("term", lower_ascii(F.col("raw"))).drop("raw").join(wanted, "term")
 
 
 def find_matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = 13, near: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -49,7 +51,7 @@ def find_matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     documents: ``doc`` (row key), ``doc_id``, ``n_words``, ``matches`` (array of start, len, phrase, same: how many words
     are in place; ``same = len`` is an exact match). windows: ``item``, ``phrase``, ``len``.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), document_key(F.col(doc_id), F.col(text)).alias("doc"), alnum_words(F.col(text)).alias("w"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), document_key(F.col(doc_id), F.col(text)).alias("doc"), F.col(text).alias("text"))
     windows = stored(windows_of(items, item, item_text, size), "windows")
     phrases = windows.select("phrase", "len").distinct()
     places = phrases.select("phrase", "len", F.posexplode(F.split("phrase", " ")).alias("off", "term"))
@@ -58,12 +60,13 @@ def find_matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     # A window with a word that no document has cannot match; the others are looked up by their two rarest words.
     known = places.join(counts, "term").groupBy("phrase", "len").agg(F.slice(F.array_sort(F.collect_list(F.struct("n", "off", "term"))), 1, 2).alias("rarest"), F.count("*").alias("have"))
     anchors = stored(known.filter("have = len").select("phrase", "len", F.posexplode("rarest").alias("nth", "r")).select("phrase", "len", "nth", "r.off", "r.term"), "anchors")
-    postings = stored(_terms(rows, _sent(stored(anchors.select("term").distinct(), "anchor-terms")), ["doc"]).select("doc", "pos", "term"), "postings")
+    sought = anchors.select("term").distinct().unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
+    postings = stored(_terms(rows, _sent(stored(sought, "anchor-terms")), ["doc", "doc_id"], F.array(F.lit(""))).select("doc", "doc_id", "pos", "term"), "postings")
     begins = postings.join(_sent(anchors), "term").select("doc", "phrase", "len", "nth", (F.col("pos") - F.col("off")).alias("start")).filter("start >= 0")
     met = begins.groupBy("doc", "phrase", "len", "start").agg(F.countDistinct("nth").alias("seen")).filter("seen = 2 or len = 1")
     candidates = stored(met.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "len", "phrase"))).alias("found")), "candidates")
-    both = rows.join(_sent(candidates), "doc", "left")
-    own = F.transform("w", lower_ascii)
+    texts = rows.select("doc", "text").join(_sent(candidates), "doc")
+    own = F.transform(alnum_words(F.col("text")), lower_ascii)
 
     def compare(words):
         def one(c):
@@ -72,8 +75,9 @@ def find_matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
 
         return F.filter(F.transform("found", one), lambda m: m["same"] >= m["len"] * F.lit(near))
 
-    matches = F.when(F.col("found").isNotNull(), F.transform(F.array(own), compare)[0])
-    return both.select("doc", "doc_id", F.size("w").cast("long").alias("n_words"), matches.alias("matches")), windows
+    matches = texts.select("doc", F.transform(F.array(own), compare)[0].alias("matches")).dropDuplicates(["doc"])
+    every = postings.filter("term = ''").select("doc", "doc_id", F.col("pos").cast("long").alias("n_words"))
+    return every.join(matches, "doc", "left"), windows
 
 
 def contamination(docs: DataFrame, items: DataFrame, share: int = 20, **how) -> DataFrame:
