@@ -86,7 +86,7 @@ def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
 
 def _node(items: np.ndarray) -> int:
     """A hash of a whole set."""
-    return int(mix(mix(items).sum(dtype=np.uint64) + np.uint64(len(items))).astype(np.int64)) if len(items) else 0
+    return int(mix(mix(items).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(items))).view(np.int64)[0]) if len(items) else 0
 
 
 def common_counts(sets: list[np.ndarray], split: int) -> np.ndarray:

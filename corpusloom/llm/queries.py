@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, licenses, mixing, quality, sharding, warc
+from corpusloom.llm import decontamination, jaccard, licenses, lm, mixing, passages, pii, quality, sharding, warc
 from corpusloom.llm.registry import register, table
 from corpusloom.session import scratch_path
 
@@ -33,6 +35,16 @@ items as (select k, count(distinct item) as n_items, string_agg(distinct item, '
 a as (select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(listed, '')) as items_sha256 from d left join words using (k) left join items using (k))
 select *, n_hit > 0 and 20 * n_hit >= n_words as contaminated from a"""
 
+JACCARD_SQL = f"""
+with recursive d as (select doc_id, {WORDS_SQL.format(LOWER_SQL.format('text'))} as ws from documents),
+s as (select distinct doc_id, list_aggregate(ws[i:i + 2], 'string_agg', ' ') as g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) as i from d where len(ws) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b using (g) where a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)),
+e as (select a, b from l union select b, a from l),
+r(doc_id, seen) as (select doc_id, doc_id from d union select r.doc_id, e.b from r join e on e.a = r.seen)
+select doc_id, coalesce(any_value(n), 0) as n_shingles, min(seen) as component_id from r left join n using (doc_id) group by doc_id"""
+
 QUALITY_SQL = rf"""
 with d as (select row_number() over () as k, doc_id, coalesce(text, '') as t from documents),
 w as (select k, doc_id, t, {WORDS_SQL.format('t')} as ws from d),
@@ -91,3 +103,25 @@ def op5(spark, sf_dir):
 def op7(spark, sf_dir):
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@register("op3_personal_data")
+def op3(spark, sf_dir):
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[f"pii.n_{k}" for k in pii.KINDS], F.sha2("pii.base", 256).alias("base_sha256"), "pii.spans")
+
+
+@register("op6_ngram_jaccard", JACCARD_SQL)
+def op6(spark, sf_dir):
+    groups = jaccard.similarity_groups(table(spark, sf_dir, "documents"), size=3, similarity=Fraction(9, 10))
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+@register("op8_language_model")
+def op8(spark, sf_dir):
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
+@register("op10_repeated_passages")
+def op10(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
