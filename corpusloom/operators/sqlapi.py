@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from corpusloom.operators import chunking as C
 
-REFUSED = re.compile(r"^\s*(insert|update|delete)\b", re.IGNORECASE)
+# Text between semicolons: quoted text, quoted names and comments are taken whole.
+STATEMENT = re.compile(r"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|[^;])+""", re.DOTALL)
+_PLANS = "org.apache.spark.sql.catalyst.plans.logical."
 
 
 class RefusedStatement(ValueError):
@@ -44,34 +46,36 @@ class SqlSession:
             r"try_divide(size(array_intersect(tks, regexp_extract_all(lower(q), '[\\p{L}\\p{N}]+', 0))), size(array_distinct(regexp_extract_all(lower(q), '[\\p{L}\\p{N}]+', 0))))")
 
     def run(self, statement: str, args: dict | None = None) -> DataFrame:
-        """One statement. Changing statements are refused; a plain result gets the row limit of the session."""
+        """One query. Anything that is not one is refused before it runs; with a row limit, no result has more rows."""
         text = statement.replace("```", "").strip().rstrip(";")
-        if REFUSED.match(text):
-            raise RefusedStatement("INSERT, UPDATE, and DELETE statements are not supported.")
-        df = self.spark.sql(text, args=args) if args else self.spark.sql(text)
-        if _is_command(df):
+        if not self.is_query(text):
             raise RefusedStatement("Only queries are supported.")
-        if self.row_limit and not re.search(r"\blimit\b", text, re.IGNORECASE):
-            df = df.limit(self.row_limit)
-        return df
+        df = self.spark.sql(text, args=args) if args else self.spark.sql(text)
+        return df if self.row_limit is None else df.limit(self.row_limit)
+
+    def is_query(self, statement: str) -> bool:
+        """Whether the parsed statement reads only: nothing in its plan is a command or changes a table."""
+        jvm = self.spark._jvm
+        names = [jvm.java.lang.Class.forName(_PLANS + n) for n in ("Command", "ParsedStatement")]
+        todo = [self.spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)]
+        while todo:
+            plan = todo.pop()
+            if any(n.isInstance(plan) for n in names):
+                return False
+            children = plan.children()
+            todo += [children.apply(i) for i in range(children.size())]
+        return True
 
     def run_all(self, statements: str) -> list[DataFrame]:
         """Statements separated by semicolons; refused ones are skipped."""
-        out = []
-        for statement in statements.split(";"):
-            if statement.replace("```", "").strip() and not REFUSED.match(statement):
-                out.append(self.run(statement))
-        return out
-
-
-def _is_command(df: DataFrame) -> bool:
-    """A command has run when its plan is a command result instead of a relation."""
-    return "CommandResult" in df._jdf.queryExecution().commandExecuted().getClass().getSimpleName()
+        parts = [s.strip() for s in STATEMENT.findall(statements.replace("```", ""))]
+        return [self.run(s) for s in parts if s and self.is_query(s)]
 
 
-def source_rows(filtered: DataFrame, key: str, name: str, n: int = 20) -> DataFrame:
-    """Documents behind an aggregate: the distinct ids and names of its filtered rows."""
-    return filtered.select(key, name).distinct().orderBy(key).limit(n)
+def source_rows(filtered: DataFrame, key: str, name: str, n: int | None = None) -> DataFrame:
+    """Documents behind an aggregate: the distinct ids and names of its filtered rows, the first ``n`` if asked."""
+    rows = filtered.select(key, name).distinct()
+    return rows if n is None else rows.orderBy(key).limit(n)
 
 
 def display(df: DataFrame) -> DataFrame:
