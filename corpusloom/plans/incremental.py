@@ -40,7 +40,7 @@ def i2(t):
     log = scratch_path(t.spark, "cursor")
     spark = t.spark
     stream = I.file_stream(spark, path, schema, files_per_trigger=8)
-    I.drain(stream, lambda df, i: I.advance_cursor(spark, log, df, i, "ts", F.col("event_id").isNull()), "cursor")
+    I.drain(stream, lambda df, i: I.advance_cursor(spark, log, df, i, "ts", F.col("event_id").isNull()), scratch_path(spark, "cursor-checkpoint"))
     return I.cursor(spark.read.parquet(log)).select(F.date_format("cursor", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("cursor"), "rows", "failed")
 
 
@@ -153,7 +153,7 @@ def i12(t):
     return I.phase_state(merges, t.events.filter(F.col("event_type").isin("view", "error")).select("user_id", phase.alias("phase"), "ts"), "user_id")
 
 
-@query("i13_missing_field_repair", f"""with {MESSAGES_SQL}, miss as (select id from msg where role = 'assistant' order by valid_at, id limit 512)
+@query("i13_missing_field_repair", f"""with {MESSAGES_SQL}, miss as (select id from msg where role = 'assistant')
 select id, case when role <> 'assistant' then 'kept' when id in (select id from miss) then md5(array_to_string({sql_tokens('text')}, ' ')) end as tokens from msg""")
 def i13(t):
     rows = messages(t).withColumn("tokens", F.when(F.col("role") != "assistant", "kept"))

@@ -44,11 +44,13 @@ def local_session(cpus: int = 8, app: str = "corpusloom", **extra: str) -> Spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a temporary one when none is set."""
+    """Use the shared folder the cluster names; only a local session may do without one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpusloom-checkpoint-"))
 
 

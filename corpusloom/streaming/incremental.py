@@ -34,24 +34,26 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int |
     return reader.parquet(path)
 
 
-def drain(stream: DataFrame, batch: Callable[[DataFrame, int], None], name: str = "drain") -> None:
-    """Run ``batch(df, id)`` over everything available, then stop; resumes from its checkpoint."""
-    checkpoint = scratch_path(stream.sparkSession, f"{name}-checkpoint")
-    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def drain(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+    """Run ``batch(df, id)`` over everything available, then stop. The next call with the same ``checkpoint`` folder goes on from there."""
+    query = stream.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def drain_to_table(stream: DataFrame, mode: str = "append", name: str = "sink") -> DataFrame:
-    """Drain a streaming plan into files and return what was written."""
+def drain_to_table(stream: DataFrame, mode: str = "append", name: str = "sink", path: str | None = None) -> DataFrame:
+    """Drain a streaming plan into the folder ``path`` and return all that it holds.
+
+    Rows and checkpoint stay in the folder: a second call reads only what is new, and a batch that is delivered again
+    overwrites itself. Without a path the folder is a new one.
+    """
     spark = stream.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        df.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
 
-    checkpoint = scratch_path(spark, f"{name}-checkpoint")
-    query = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    drain(stream, write, f"{path}/checkpoint", mode)
+    path = f"{path}/rows"
     schema = T.StructType(stream.schema.fields + [T.StructField("batch", T.IntegerType())])
     return spark.read.schema(schema).parquet(path)
 
@@ -73,8 +75,13 @@ def advance_cursor(spark: SparkSession, path: str, batch: DataFrame, batch_id: i
 
 
 def cursor(log: DataFrame) -> DataFrame:
-    """Greatest timestamp of the batches that went through."""
-    return log.agg(F.max(F.when(F.col("failed") == 0, F.col("ts"))).alias("cursor"), F.sum("rows").alias("rows"), F.sum("failed").alias("failed"))
+    """Greatest timestamp of the batches before the first that failed: what failed, and what came after it, is polled again."""
+    bad = F.col("failed") > 0
+    through = ~bad
+    for order in [c for c in ("ts", "batch_id") if c in log.columns]:
+        first = log.agg(F.min(F.when(bad, F.col(order)))).scalar()
+        through = through & (first.isNull() | (F.col(order) < first))
+    return log.agg(F.max(F.when(through, F.col("ts"))).alias("cursor"), F.sum("rows").alias("rows"), F.sum("failed").alias("failed"))
 
 
 def classify_changes(stored: DataFrame, incoming: DataFrame, key: str, fingerprint: str, scope: str | None = None) -> DataFrame:
@@ -107,10 +114,10 @@ def pending_units(units: DataFrame, finished: DataFrame, columns: list[str]) ->
     return units.withColumn("digest", digest).join(finished.select("digest").distinct(), "digest", "left_anti")
 
 
-def upsert_batches(stream: DataFrame, key: str, order: str, name: str = "upsert") -> DataFrame:
-    """Latest row per key over all batches; a batch delivered twice changes nothing."""
+def upsert_batches(stream: DataFrame, key: str, order: str, name: str = "upsert", path: str | None = None) -> DataFrame:
+    """Latest row per key over all batches of all runs with this ``path``; a batch delivered twice changes nothing."""
     columns = [c for c in stream.columns]
-    landed = drain_to_table(stream, name=name)
+    landed = drain_to_table(stream, name=name, path=path)
     return latest(landed.select(columns), key, F.col(order))
 
 
@@ -161,8 +168,10 @@ class Retention(StatefulProcessor):
         total = self.total.get()[0] if self.total.exists() else 0
         for frame in rows:
             for valid_at, id_, size in zip(frame["valid_at"], frame["id"], frame["size"]):
-                self.kept.updateValue((int(valid_at), int(id_)), (int(size),))
-                total += int(size)
+                known = (int(valid_at), int(id_))
+                if not self.kept.containsKey(known):  # a replayed message is there already
+                    self.kept.updateValue(known, (int(size),))
+                    total += int(size)
         gone = []
         if total > self.limit:
             for (valid_at, id_), (size,) in sorted(self.kept.iterator()):
@@ -206,13 +215,16 @@ def phase_state(merges: DataFrame, phases: DataFrame, scope: str) -> DataFrame:
     return state.select(scope, "phase", F.when(F.col("__ran") > F.col("__merged"), "done").otherwise("pending").alias("state"))
 
 
-def missing_field(df: DataFrame, field: str, order: list[Column], n: int = 512) -> DataFrame:
-    """Rows that lack a derived field, oldest first; one repair run takes at most ``n``, the next run the rest."""
-    return df.filter(F.col(field).isNull()).orderBy(*order).limit(n)
+def missing_field(df: DataFrame, field: str, order: list[Column], n: int | None = None) -> DataFrame:
+    """Rows that lack a derived field; with ``n``, the oldest so many for one run, the next run takes the rest."""
+    rows = df.filter(F.col(field).isNull())
+    return rows if n is None else rows.orderBy(*order).limit(n)
 
 
-def repair(df: DataFrame, key: str, field: str, value: Column, order: list[Column], n: int = 512) -> DataFrame:
-    """The table with the field of the next ``n`` incomplete rows recomputed."""
+def repair(df: DataFrame, key: str, field: str, value: Column, order: list[Column], n: int | None = None) -> DataFrame:
+    """The table with the field of its incomplete rows (with ``n``, the next so many) recomputed."""
+    if n is None:
+        return df.withColumn(field, F.when(F.col(field).isNull(), value).otherwise(F.col(field)))
     todo = missing_field(df, field, order, n).select(key, F.lit(True).alias("__fix"))
     return df.join(todo, key, "left").withColumn(field, F.when(F.col("__fix"), value).otherwise(F.col(field))).drop("__fix")
 
