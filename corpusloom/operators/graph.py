@@ -190,23 +190,26 @@ def names_similar(a: Column, b: Column) -> Column:
 
 
 def _keys(name: Column, english: Column) -> Column:
-    """Join keys that two similar names must share (prefix filter over characters in a fixed order).
+    """Join keys that two similar names must share: pairs of characters from a prefix filter in a fixed order.
 
     Latin names within edit distance ``⌊min/2⌋`` share at least half of their characters, counted with repeats; other
-    similar names share 80 % of their distinct characters, or two of them when they have fewer than four. A set of
-    size n whose required overlap is t must meet its partner among its first n − t + 1 members.
+    similar names share 80 % of their distinct characters, or two of them when they have fewer than four. The two
+    first common members of sets that share t ≥ 2 are among the first n − t + 2 of a set of size n. Only two names of one or two letters
+    may share a single character, so only these have single keys.
     """
+    pairs = lambda arr: F.flatten(F.transform(arr, lambda x, i: F.transform(F.slice(arr, i + 2, F.size(arr)), lambda y: F.concat(x, F.lit(" "), y))))
     chars = F.split(name, "")
     occurrence = lambda c, i: F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c))
     rarity = lambda k: F.instr(F.lit(LETTERS_BY_RARITY), F.lower(F.substring(k, 1, 1)))
     order = lambda arr: F.transform(F.array_sort(F.transform(arr, lambda k: F.struct(rarity(k).alias("r"), k.alias("k")))), lambda s: s["k"])
     bag = order(F.transform(chars, lambda c, i: F.concat(c, occurrence(c, i).cast("string"))))
     n = F.size(chars)
-    bag_keys = F.transform(F.slice(bag, F.lit(1), F.floor(n / 2).cast("int") + 1), lambda k: F.concat(F.lit("bag "), k))
+    first = F.slice(bag, F.lit(1), F.floor(n / 2).cast("int") + 2)
+    bag_keys = F.transform(F.when(n < 3, F.concat(bag, pairs(first))).otherwise(pairs(first)), lambda k: F.concat(F.lit("bag "), k))
     distinct = order(F.array_distinct(chars))
     m = F.size(F.array_distinct(chars))
     need = F.when(m >= 4, F.ceil(m * 0.8).cast("int")).otherwise(2)
-    set_keys = F.transform(F.slice(distinct, F.lit(1), F.greatest(m - need + 1, F.lit(1))), lambda k: F.concat(F.lit("set "), k))
+    set_keys = F.transform(pairs(F.slice(distinct, F.lit(1), F.greatest(m - need + 2, F.lit(1)))), lambda k: F.concat(F.lit("set "), k))
     return F.when(english, F.concat(bag_keys, set_keys)).otherwise(set_keys)
 
 
@@ -228,21 +231,19 @@ def similar_names(nodes: DataFrame, name: str, block: str, new: str | None = Non
     return pairs.filter(names_similar(F.col("a"), F.col("b")))
 
 
-def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """``(name, component)``: the least name reachable. Each round takes the least neighbour label, then follows it."""
+def components(edges: DataFrame) -> DataFrame:
+    """``(name, component)``: the least name reachable. Rounds take the least neighbour label, then follow it, until nothing changes."""
     links = cut_lineage(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     labels = cut_lineage(links.groupBy(F.col("src").alias("name")).agg(F.least(F.first("src"), F.min("dst")).alias("component")))
-    for _ in range(max_rounds):
+    while True:
         near = links.join(labels, links["dst"] == labels["name"]).groupBy(F.col("src").alias("name")).agg(F.min("component").alias("__m"))
         step = labels.join(near, "name").select("name", F.col("component").alias("__old"), F.least("component", "__m").alias("component"))
         target = step.select(F.col("name").alias("__t"), F.col("component").alias("__next"))
         new = step.join(target, step["component"] == target["__t"]).select("name", "__old", F.least("component", "__next").alias("component"))
         new = cut_lineage(new)
-        done = new.filter(F.col("__old") != F.col("component")).isEmpty()
         labels = new.select("name", "component")
-        if done:
-            break
-    return labels
+        if new.filter(F.col("__old") != F.col("component")).isEmpty():
+            return labels
 
 
 def contract(nodes: DataFrame, edges: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -342,8 +343,8 @@ def community_weights(members: DataFrame, ranks: DataFrame, rank: str = "rank",
     return sums.join(top, "level").select("level", "community", F.coalesce(F.try_divide("__s", "__m"), F.lit(0.0)).alias("weight"))
 
 
-def community_tables(members: DataFrame, edges: DataFrame, limit: int | None = 10_000) -> tuple[DataFrame, DataFrame]:
-    """(members, edges inside) of the communities of at least two nodes; a report lists at most ``limit`` edges."""
+def community_tables(members: DataFrame, edges: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(members, edges inside) of the communities of at least two nodes; with ``limit``, a report lists so many edges."""
     sizes = members.groupBy("level", "community").agg(F.count("*").alias("n")).filter(F.col("n") >= 2)
     kept = members.join(sizes.drop("n"), ["level", "community"], "left_semi")
     a = kept.select("level", "community", F.col("name").alias("src"))
@@ -393,11 +394,12 @@ def extend_paths(paths: DataFrame, links: DataFrame, weights: bool = False) -> D
 
 def n_hop_paths(edges: DataFrame, seeds: DataFrame, hops: int = 2, seed: str = "name") -> DataFrame:
     """``(seed, path, weights)``: maximal paths of at most ``hops`` edges from every seed."""
-    links = both_ways(edges)
+    links = cut_lineage(both_ways(edges))
     starts = links.join(seeds.select(F.col(seed).alias("src")).distinct(), "src", "left_semi")
     paths = starts.select(F.col("src").alias("seed"), F.array("src", "dst").alias("path"), F.array("weight").alias("weights"))
     for _ in range(hops - 1):
-        paths = extend_paths(paths, links, weights=True)
+        # Each hop reads the paths so far three times.
+        paths = cut_lineage(extend_paths(cut_lineage(paths), links, weights=True))
     return paths
 
 
