@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions import vectors as VEC
 from corpusloom.operators.running import top_k
+from corpusloom.session import cut_lineage
 
 QUERY_BLOCK = 16384  # query vectors sent to every task at once
 
@@ -20,6 +21,9 @@ QUERY_BLOCK = 16384  # query vectors sent to every task at once
 def _matrix(column: pa.Array) -> np.ndarray:
     if len(column) == 0:
         return np.zeros((0, 0))
+    sizes = pc.list_value_length(column)
+    if pc.min_max(sizes)["min"] != pc.min_max(sizes)["max"]:
+        raise ValueError("vectors of different lengths: filter the column to one length first")
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 
@@ -38,7 +42,8 @@ def nearest(
     vectors and keeps at most ``k`` rows per query and batch. A block holds at most about ``QUERY_BLOCK`` queries;
     more queries are split by hash and make further passes. Scores are rounded so that equal vectors tie exactly.
     """
-    queries = queries.select(query, vector)
+    # A missing vector is near to nothing, whether it is a query's or an item's.
+    queries = queries.select(query, vector).filter(F.col(vector).isNotNull())
     out_schema = f"{query} {queries.schema[query].dataType.simpleString()}, {item} {items.schema[item].dataType.simpleString()}, similarity double"
     head = queries.limit(QUERY_BLOCK + 1).toArrow()
     if head.num_rows <= QUERY_BLOCK:
@@ -84,9 +89,14 @@ def _one_pass(block, items, k, threshold, query, item, vector, digits, out_schem
 
 def nearest_approximate(
     queries: DataFrame, items: DataFrame, k: int, query: str = "query_id", item: str = "item_id", vector: str = "vector",
-    bucket_length: float = 0.5, tables: int = 4, max_distance: float = 1.2,
+    bucket_length: float = 0.5, tables: int = 4, max_distance: float = 2.0,
 ) -> DataFrame:
-    """Candidates from random projections of unit vectors (2k kept per query), re-scored exactly."""
+    """Candidates from random projections of unit vectors (2k kept per query), re-scored exactly.
+
+    Unit vectors are at most 2 apart, so no candidate is cut by its distance; a query with fewer than ``k`` candidates is
+    searched exactly, so every query gets ``k`` rows if there are as many items.
+    """
+    queries, items = queries.filter(F.col(vector).isNotNull()), items.filter(F.col(vector).isNotNull())
     as_unit = lambda df, key: df.select(F.col(key), array_to_vector(VEC.unit(F.col(vector))).alias("u"), F.col(vector).alias("v"))
     q, i = as_unit(queries, query), as_unit(items, item)
     model = BucketedRandomProjectionLSH(inputCol="u", outputCol="h", bucketLength=bucket_length, numHashTables=tables, seed=7).fit(i)
@@ -95,4 +105,10 @@ def nearest_approximate(
         F.col("datasetA.v").alias("__a"), F.col("datasetB.v").alias("__b"))
     candidates = top_k(pairs, query, [F.col("distance"), F.col(item)], 2 * k, "__c")
     scored = candidates.select(query, item, F.round(VEC.cosine(F.col("__a"), F.col("__b")), 6).alias("similarity"))
-    return top_k(scored, query, [F.col("similarity").desc(), F.col(item)], k)
+    found = cut_lineage(top_k(scored, query, [F.col("similarity").desc(), F.col(item)], k))
+    full = found.groupBy(query).agg(F.count("*").alias("__n")).filter(F.col("__n") >= k).select(query)
+    short = cut_lineage(queries.select(query, vector).join(full, query, "left_anti"))
+    if short.isEmpty():
+        return found
+    exact = nearest(short, items, k, query=query, item=item, vector=vector)
+    return found.join(short.select(query), query, "left_anti").unionByName(exact.select(found.columns))

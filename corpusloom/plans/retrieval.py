@@ -17,7 +17,7 @@ from corpusloom.session import cut_lineage
 # --- SQL pieces -----------------------------------------------------------------------------------------------
 
 DOCS = "docs as (select doc_id, text, source from documents)"
-QS = f"qs as (select item_id as query_id, list_slice({sql_tokens(_sql_normalized('text'))}, 1, 256) as tks from benchmark)"
+QS = f"qs as (select item_id as query_id, {sql_tokens(_sql_normalized('text'))} as tks from benchmark)"
 STATS = f"""de as (select doc_id, unnest({sql_tokens('text')}) as term from documents), st as (select term, count(distinct doc_id) as df, count(*) as cf from de group by 1)"""
 WEIGHTS = """qt as (select query_id, unnest(tks) as term, generate_subscripts(tks, 1) - 1 as pos from qs),
  wj as (select qt.*, df, cf, regexp_matches(term, '^[0-9. -]{2,}$') as digits, regexp_matches(term, '^[a-z. -]+$') as letters from qt left join st using (term)),
@@ -200,7 +200,7 @@ def r9(t):
 @query("r10_text_first_fusion", f"""with {BASE}, {match_sql(0.1)}, {VECS}, best as (select *, row_number() over (partition by query_id order by score desc, doc_id) as text_rank from txt)
 select query_id, doc_id, text_rank, similarity from best join sim using (query_id, doc_id) where text_rank <= 40 and similarity >= 0.2""")
 def r10(t):
-    return V.text_first(text_hits(t, share=0.1), vector_hits(t), "doc_id", 40, 0.2).select("query_id", "doc_id", "text_rank", "similarity")
+    return V.text_first(text_hits(t, share=0.1), query_vectors(t), doc_vectors(t.documents), "doc_id", 40, 0.2).select("query_id", "doc_id", "text_rank", "similarity")
 
 
 @query("r11_relaxing_retry", f"""with {BASE}, {match_sql(0.0)}, tot as (select query_id, count(*) as total from aq group by 1),
@@ -213,6 +213,23 @@ def r11(t):
     return V.with_retry(strict, loose)
 
 
+@query("r11_filtered_retry", f"""with {BASE}, {match_sql(0.0)}, {VECS}, tot as (select query_id, count(*) as total from aq group by 1), hit as (select query_id, doc_id, score from txt join tot using (query_id) where matched >= 0.95 * total),
+ scope as (select item_id as query_id, doc_id from benchmark join documents on source = 'src' || item_id % 20 where item_id % 2 = 0),
+ strict as (select query_id, doc_id, score, 'strict' as pass from hit where query_id % 2 = 1 union all select query_id, doc_id, score, 'strict' from hit join scope using (query_id, doc_id)),
+ loose as (select coalesce(a.query_id, b.query_id) as query_id, coalesce(a.doc_id, b.doc_id) as doc_id, round(0.05 * coalesce(score, 0) + 0.95 * coalesce(similarity, 0), 9) as score
+  from (select query_id, doc_id, score from txt join tot using (query_id) where matched >= 0.1 * total) a full join (select * from sim where similarity >= 0.17 qualify row_number() over (partition by query_id order by similarity desc, doc_id) <= 100) b on a.query_id = b.query_id and a.doc_id = b.doc_id)
+select * from strict union all select query_id, doc_id, score, 'relaxed' from loose where query_id % 2 = 1 and query_id not in (select query_id from strict)
+union all select query_id, doc_id, 0, 'filtered' from scope where query_id not in (select query_id from strict)""")
+def r11_filtered(t):
+    """Even queries search the documents of one source, odd ones all; what finds nothing is relaxed or returns its documents."""
+    w, q = weighted_queries(t), F.col("query_id")
+    even = bench_queries(t).filter(q % 2 == 0).select("query_id", F.concat(F.lit("src"), q % 20).alias("source"))
+    scope = even.join(t.documents.select("doc_id", "source"), "source").select("query_id", "doc_id")
+    hits = text_hits(t, share=0.95, weighted=w).select("query_id", "doc_id", "score")
+    loose = V.weighted_fusion(V.fuse_candidates(text_hits(t, share=0.1, weighted=w), vector_hits(t, k=100, threshold=0.17), "doc_id")).select("query_id", "doc_id", F.round("score", 9).alias("score"))
+    return V.relaxing_retry(hits, loose, scope, "doc_id")
+
+
 TERMSIM = f"""{BASE}, {SIMILAR}, {features_sql(sql_tokens('text'))},
  ts as (select query_id, doc_id, round((sum(x) + 1e-9) / (max(s) + 1e-9), 6) as term_similarity from qf join dfe using (f) join qsum using (query_id) group by all)"""
 
@@ -278,14 +295,9 @@ def full_retrieval(t):
     """Filter, candidates from text and vectors, rerank, threshold; every passing hit with its score parts."""
     docs = t.documents.join(t.labels, "doc_id", "left").filter(P.available(F.col("quality"))).select("doc_id", "text", "source")
     weighted = weighted_queries(t)
-    every = vector_hits(t, docs)
-    near = K.threshold_rank(every, "query_id", "similarity", 0.1, "doc_id", k=100)
-    candidates = V.weighted_fusion(V.fuse_candidates(text_hits(t, docs, 0.3, weighted), near, "doc_id")).withColumn("score", F.round("score", 9))
-    pool = cut_lineage(top_k(candidates, "query_id", [F.col("score").desc(), F.col("doc_id")], 64).select("query_id", "doc_id"))
-    terms = V.token_similarity(weighted, boosted(docs), "doc_id", pairs=pool).withColumn("term_similarity", F.round("term_similarity", 6))
-    parts = terms.join(every.withColumnRenamed("similarity", "vector_similarity"), ["query_id", "doc_id"]).join(docs.select("doc_id", "source"), "doc_id")
-    scored = V.hybrid_similarity(parts).withColumn("similarity", F.round("similarity", 8))
-    return K.threshold_rank(scored, "query_id", "similarity", 0.2, "doc_id", k=64)
+    chunks = cut_lineage(doc_vectors(docs).join(boosted(docs), "doc_id"))
+    found = V.hybrid_search(weighted, text_hits(t, docs, 0.3, weighted), query_vectors(t), chunks, "doc_id")
+    return found.join(docs.select("doc_id", "source"), "doc_id")
 
 
 @query("r16_full_retrieval", f"with {FULL} select query_id, doc_id, rank, similarity from kept where rank <= 10")
@@ -364,11 +376,11 @@ def r20(t):
 
 
 @query("r21_vector_hydrate", """
-select doc_id, case when vec_id is not null and vec_id % 3 <> 0 then round(embedding[1]::double, 6) else 0 end as first, 64 as n from documents left join embeddings on doc_id = vec_id""")
+select doc_id, d as dim, case when vec_id is not null and vec_id % 3 <> 0 then round(embedding[d + 1]::double, 6) else 0 end as value from documents left join embeddings on doc_id = vec_id, lateral (select unnest(range(64))::int as d)""")
 def r21(t):
     stored = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.when(F.col("vec_id") % 3 == 0, F.slice("embedding", 1, 10)).otherwise(F.col("embedding")).alias("v"))
     rows = t.documents.select("doc_id").join(stored, "doc_id", "left").select("doc_id", VEC.fit_dimension(F.col("v"), 64).alias("v"))
-    return rows.select("doc_id", F.round(F.col("v")[0].cast("double"), 6).alias("first"), F.size("v").alias("n"))
+    return rows.select("doc_id", F.posexplode("v").alias("dim", "value")).withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
 @query("r22_modes_with_fallback", f"""with {BASE}, {match_sql(0.6)}, {VECS}, vh as (select query_id, doc_id, similarity as score from sim where similarity >= 0.6),
@@ -405,20 +417,18 @@ def r24(t):
     return t.part.select("p_partkey", F.concat_ws("\n\n", "p_name", "p_type", F.when(F.col("p_size") > 25, F.col("p_brand"))).alias("text"))
 
 
-@query("r25_iterative_retrieval", f"""with sub as (select item_id, d, s from (select item_id, unnest(l) as s, generate_subscripts(l, 1) - 1 as d from (select item_id, string_split(text, '. ') as l from benchmark)) where d < 3),
+@query("r25_iterative_retrieval", f"""with sub as (select item_id, d, s from (select item_id, unnest(l) as s, generate_subscripts(l, 1) - 1 as d from (select item_id, string_split(text, '. ') as l from benchmark))),
  qt as (select distinct item_id, d, unnest({sql_tokens('s')}) as term from sub), dt as (select distinct doc_id, unnest({sql_tokens('text')}) as term from documents),
  h as (select item_id, d, doc_id, count(*) as n from qt join dt using (term) group by all),
  r as (select * from h qualify row_number() over (partition by item_id, d order by n desc, doc_id) <= 5)
 select item_id, doc_id, min(d)::int as round from r group by all""")
 def r25(t):
-    """Three rounds; the sub-queries of a round are the sentences of the passage."""
-    parts = t.benchmark.select("item_id", F.posexplode(F.split("text", r"\. ")).alias("round", "text"))
-    rounds = []
-    for depth in range(3):
-        asked = parts.filter(F.col("round") == depth).select("item_id", "text")
-        hits = V.term_overlap(asked, "item_id", t.documents, "doc_id")
-        rounds.append(top_k(hits, "item_id", [F.col("n").desc(), F.col("doc_id")], 5).select("item_id", "doc_id", F.lit(depth).alias("round")))
-    return K.merge_rounds(A.union_all(rounds), ["item_id", "doc_id"], "round")
+    """A round for each sentence of a passage; all rounds of all passages are searched at once."""
+    asked = t.benchmark.select("item_id", F.posexplode(F.split("text", r"\. ")).alias("round", "text"))
+    asked = asked.select(F.struct("item_id", "round").alias("ask"), "text")
+    hits = V.term_overlap(asked, "ask", t.documents, "doc_id")
+    rounds = top_k(hits, "ask", [F.col("n").desc(), F.col("doc_id")], 5).select("ask.item_id", "doc_id", "ask.round")
+    return K.merge_rounds(rounds, ["item_id", "doc_id"], "round")
 
 
 CHUNKED = f"""{exploded_sql(NEWLINED)}, {fold_sql('src', 'f.acc > 128')},
@@ -479,9 +489,13 @@ def r28(t):
 
 
 @query("j8_parent_roll_up", f"""with {FULL}, c as (select query_id, doc_id, source, similarity from kept), par as (select source, md5(source) as text from documents where source <> 'src7' group by 1)
-select query_id, c.source as chunk, round(avg(similarity), 9) as similarity, count(*) as children, any_value(par.text) as text from c join par using (source) group by query_id, c.source
-union all select query_id, cast(doc_id as varchar), similarity, 0, 'child' from c where source = 'src7'""")
+select query_id, c.source as chunk, round(sum(similarity), 8) as similarity, count(*) as children, any_value(par.text) as text,
+ md5(array_to_string(flatten(list({sql_tokens('d.text')} order by cast(doc_id as varchar))), ' ')) as tokens, array_to_string(list_sort(list_distinct(list(d.lang))), ',') as keywords
+ from c join par using (source) join documents d using (doc_id) group by query_id, c.source
+union all select query_id, cast(doc_id as varchar), round(similarity, 8), 0, 'child', md5(array_to_string({sql_tokens('d.text')}, ' ')), d.lang from c join documents d using (doc_id) where c.source = 'src7'""")
 def j8(t):
     hits = full_retrieval(t).select("query_id", F.col("doc_id").cast("string").alias("chunk"), F.col("source").alias("parent_id"), F.lit("child").alias("text"), "similarity")
+    texts = t.documents.select(F.col("doc_id").cast("string").alias("chunk"), X.tokens(F.col("text")).alias("tokens"), F.array("lang").alias("keywords"))
     parents = t.documents.filter(F.col("source") != "src7").select(F.col("source").alias("parent_id")).distinct().withColumn("text", F.md5("parent_id"))
-    return V.roll_up_children(hits, parents, "chunk").withColumn("similarity", F.round("similarity", 9))
+    rolled = V.roll_up_children(hits.join(texts, "chunk"), parents, "chunk")
+    return rolled.withColumns({"similarity": F.round(F.col("similarity") * F.greatest("children", F.lit(1)), 8), "tokens": F.md5(F.array_join("tokens", " ")), "keywords": F.array_join("keywords", ",")})
