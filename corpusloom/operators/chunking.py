@@ -19,6 +19,7 @@ from corpusloom.operators import layout as L
 
 NO_INTS = "array<int>"
 NO_TEXTS = "array<string>"
+FOLD_BLOCK = 256
 
 
 def _empty(kind: str) -> Column:
@@ -32,9 +33,10 @@ def fold_groups(items: Column, start: Callable, state: dict[str, Column], update
     """Group number of every item of an array.
 
     ``start(state, item)`` tells whether the item opens a new group, ``update(state, item, opened)`` gives the next
-    state. The group numbers are the only array that grows.
+    state. The group numbers are the only array that grows, and it does so in blocks of ``FOLD_BLOCK`` items that are put
+    together once: appending copies an array, so the time is linear in the items.
     """
-    zero = F.struct(F.lit(-1).alias("g"), *[c.alias(n) for n, c in state.items()], _empty(NO_INTS).alias("ids"))
+    zero = F.struct(F.lit(-1).alias("g"), *[c.alias(n) for n, c in state.items()], _empty("array<array<int>>").alias("parts"))
 
     def step(a, x):
         opened = (a["g"] < 0) | start(a, x)
@@ -42,7 +44,17 @@ def fold_groups(items: Column, start: Callable, state: dict[str, Column], update
         new = update(a, x, opened)
         return F.struct(g.alias("g"), *[new[n].alias(n) for n in state], F.array_append(a["ids"], g).alias("ids"))
 
-    return F.aggregate(items, zero, step, lambda a: a["ids"])
+    def fold(a, block):
+        fresh = F.struct(a["g"].alias("g"), *[a[n].alias(n) for n in state], _empty(NO_INTS).alias("ids"))
+        done = F.array(F.aggregate(block, fresh, step))
+        return F.transform(done, lambda r: F.struct(
+            r["g"].alias("g"), *[r[n].alias(n) for n in state], F.array_append(a["parts"], r["ids"]).alias("parts")))[0]
+
+    def blocks(whole):
+        starts = F.when(F.size(whole) > 0, F.sequence(F.lit(0), F.size(whole) - 1, F.lit(FOLD_BLOCK))).otherwise(_empty(NO_INTS))
+        return F.transform(starts, lambda s: F.slice(whole, s + 1, FOLD_BLOCK))
+
+    return F.transform(F.array(items), lambda whole: F.aggregate(blocks(whole), zero, fold, lambda a: F.flatten(a["parts"])))[0]
 
 
 def pack(counts: Column, start: Callable) -> Column:
