@@ -104,7 +104,16 @@ def cell_matches(cell: Column, op: str, value) -> Column:
 def metadata_filter(
     meta: DataFrame, filters: list[dict], logic: str = "and", docs: DataFrame | None = None, doc: str = "doc_id"
 ) -> DataFrame:
-    """Documents of a long metadata table ``(doc, key, value)`` that satisfy the clauses.
+    """Documents of a long metadata table ``(doc, key, value)`` that satisfy the clauses."""
+    grouped = metadata_flags(meta, filters, docs, doc)
+    result = F.col("__c0")
+    for i in range(1, len(filters)):
+        result = (result & F.col(f"__c{i}")) if logic == "and" else (result | F.col(f"__c{i}"))
+    return grouped.filter(result).select(doc)
+
+
+def metadata_flags(meta: DataFrame, filters: list[dict], docs: DataFrame | None = None, doc: str = "doc_id") -> DataFrame:
+    """``(doc, __c0, __c1, ...)``: which clauses each document satisfies.
 
     One aggregation with map-side combine, whatever the number of clauses. ``empty`` means missing or blank, so
     it needs ``docs``, the catalog of ids.
@@ -122,11 +131,7 @@ def metadata_filter(
             flags.append(~F.bool_or(of_key & cell_matches(F.col("value"), "not empty", None)))
         else:
             flags.append(F.bool_or(of_key & cell_matches(F.col("value"), f["op"], f.get("value"))))
-    grouped = rows.groupBy(doc).agg(*[flag.alias(f"__c{i}") for i, flag in enumerate(flags)])
-    result = F.col("__c0")
-    for i in range(1, len(flags)):
-        result = (result & F.col(f"__c{i}")) if logic == "and" else (result | F.col(f"__c{i}"))
-    return grouped.filter(result).select(doc)
+    return rows.groupBy(doc).agg(*[flag.alias(f"__c{i}") for i, flag in enumerate(flags)])
 
 
 def resolve_ids(base: DataFrame, filtered: DataFrame | None = None, doc: str = "doc_id") -> DataFrame:

@@ -120,6 +120,12 @@ def cast_cell(cell: Column, kind: str) -> Column:
     }[kind]()
 
 
+def cast_inferred(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with each of the text ``columns`` in its inferred type; a column without any cell stays text."""
+    kinds = {r["column"]: r["type"] for r in infer_types(df, columns).select("column", "type").collect()}  # a row for each column
+    return df.withColumns({c: cast_cell(F.col(c), kinds.get(c, "text")) for c in columns})
+
+
 # --- metadata maps ------------------------------------------------------------------------------------
 
 

@@ -32,9 +32,10 @@ def tfidf_embedding(df: DataFrame, key: str, text: str, dim: int = 256) -> DataF
     return stages.fit(tokens).transform(tokens).select(key, vector_to_array("__v").alias("vector"))
 
 
-def encode_batches(df: DataFrame, key: str, text: str, encode: Callable[[list[str]], list[list[float]]], max_tokens: int, batch: int = 16) -> DataFrame:
-    """Vectors from a plug-in model, called with bounded batches of truncated texts."""
-    ready = df.select(key, X.truncate_tokens(F.col(text), max_tokens).alias("__t"))
+def encode_batches(df: DataFrame, key: str, text: str, encode: Callable[[list[str]], list[list[float]]], max_tokens: int | None = None, batch: int = 16) -> DataFrame:
+    """Vectors from a plug-in model, called with bounded batches of texts, cut to ``max_tokens`` if the model needs that."""
+    whole = F.array_join(X.tokens(F.col(text)), " ")
+    ready = df.select(key, (whole if max_tokens is None else X.truncate_tokens(F.col(text), max_tokens)).alias("__t"))
     schema = T.StructType([ready.schema[key], T.StructField("vector", T.ArrayType(T.DoubleType()))])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,16 +115,14 @@ def insert_counters(chunks: DataFrame, by: list[str], chunk: str, tokens: str, s
     return once.groupBy(*by).agg(F.count("*").alias("chunk_num"), F.sum("__t").alias("token_num"), F.sum("__s").alias("duration"))
 
 
-def cluster_summary(members: DataFrame, cluster: str, key: str, text: str, budget: int, sentences: int = 3) -> DataFrame:
+def cluster_summary(members: DataFrame, cluster: str, key: str, text: str, sentences: int = 3) -> DataFrame:
     """Extractive summary rows of every cluster: ``(cluster, rank, key, sentence, score)``.
 
-    Every member gives its first ``budget / members`` tokens; sentences are ranked by the summed weight of their terms
-    inside the cluster. Ranked rows instead of one joined text keep large clusters distributed.
+    The whole text of every member is read; sentences are ranked by the mean weight of their terms inside the
+    cluster. Ranked rows instead of one joined text keep large clusters distributed.
     """
-    size = members.groupBy(cluster).agg(F.count("*").alias("__n"))
-    shares = members.join(size, cluster).select(
-        cluster, key, F.slice(F.split(F.col(text), r"[ \t\r\n]+"), F.lit(1), F.greatest(F.floor(F.lit(budget) / F.col("__n")).cast("int"), F.lit(1))).alias("__w"))
-    parts = shares.select(cluster, key, F.posexplode(F.split(F.array_join("__w", " "), r"(?<=[.!?]) ")).alias("spos", "sentence"))
+    flat = F.regexp_replace(F.col(text), r"[ \t\r\n]+", " ")
+    parts = members.select(cluster, key, F.posexplode(F.split(flat, r"(?<=[.!?]) ")).alias("spos", "sentence"))
     parts = parts.filter(~X.is_blank(F.col("sentence")))
     terms = parts.select(cluster, key, "spos", F.explode(F.array_distinct(X.tokens(F.col("sentence")))).alias("term"))
     df = terms.groupBy(cluster, "term").agg(F.count("*").alias("__df"))

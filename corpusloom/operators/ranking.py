@@ -168,18 +168,20 @@ def document_progress(tasks: DataFrame, doc: str, progress: str) -> DataFrame:
 # --- hierarchies ----------------------------------------------------------------------------------------
 
 
-def ancestors(nodes: DataFrame, node: str = "id", parent: str = "parent", max_depth: int = 64) -> DataFrame:
-    """``(id, ancestor, depth)`` for every node, itself at depth 0; one join per level of the tree."""
+def ancestors(nodes: DataFrame, node: str = "id", parent: str = "parent") -> DataFrame:
+    """``(id, ancestor, depth)`` for every node, itself at depth 0; one join per level of the tree. A cycle raises."""
     links = nodes.select(F.col(node).alias("ancestor"), F.col(parent).alias("__up")).filter(F.col("__up").isNotNull())
     frontier = nodes.select(F.col(node).alias("id"), F.col(node).alias("ancestor"), F.lit(0).alias("depth"))
-    levels = [frontier]
-    for depth in range(1, max_depth + 1):
+    levels, most, depth = [frontier], nodes.count(), 0
+    while True:
+        depth += 1
+        if depth > most:
+            raise ValueError("the parents form a cycle")
         frontier = cut_lineage(
             frontier.join(links, "ancestor").select("id", F.col("__up").alias("ancestor"), F.lit(depth).alias("depth")))
         if frontier.isEmpty():
-            break
+            return reduce(lambda a, b: a.unionByName(b), levels)
         levels.append(frontier)
-    return reduce(lambda a, b: a.unionByName(b), levels)
 
 
 def subtree_sizes(nodes: DataFrame, size: str, node: str = "id", parent: str = "parent") -> DataFrame:

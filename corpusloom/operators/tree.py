@@ -288,21 +288,21 @@ def rebalance(children: DataFrame, parent: str, child: str, order: str, limit: i
     return reduce(lambda a, b: a.unionByName(b), done)
 
 
-def prototypes(tree: DataFrame, leaves: DataFrame, max_depth: int = 64) -> DataFrame:
+def prototypes(tree: DataFrame, leaves: DataFrame) -> DataFrame:
     """``(node, vector)``: every inner node of ``(node, parent)`` is the mean of its children, level by level.
 
     ``tree`` carries the height of each node above its deepest leaf in ``height``; leaves have height 0.
     """
     top = tree.agg(F.max("height")).first()[0]
     known = leaves.select("node", "vector")
-    for height in range(1, min(top, max_depth) + 1):
+    for height in range(1, (top or 0) + 1):
         here = tree.filter(F.col("height") == height).select(F.col("node").alias("parent"))
         kids = tree.select("node", "parent").join(here, "parent", "left_semi").join(known, "node")
         known = cut_lineage(known.unionByName(mean_vectors(kids, ["parent"]).withColumnRenamed("parent", "node")))
     return known
 
 
-def summary_layers(rows: DataFrame, key: str, vector: str, text: str, cluster, budget: int = 512, max_layers: int = 8) -> DataFrame:
+def summary_layers(rows: DataFrame, key: str, vector: str, text: str, cluster) -> DataFrame:
     """``(layer, id, text, vector)``: cluster, write one summary row per cluster, repeat until one row is left.
 
     ``cluster(df)`` maps ``(id, vector)`` to ``(id, cluster)``. The summary of a cluster is its best sentences, its
@@ -310,15 +310,14 @@ def summary_layers(rows: DataFrame, key: str, vector: str, text: str, cluster, b
     """
     layer = cut_lineage(rows.select(F.lit(0).alias("layer"), F.col(key).cast("string").alias("id"), F.col(text).alias("text"), F.transform(vector, lambda x: x.cast("double")).alias("vector")))
     out = [layer]
-    for depth in range(1, max_layers + 1):
-        n = layer.count()
-        if n <= 1:
-            break
+    depth = 0
+    while (n := layer.count()) > 1:  # every layer is smaller than the one before
+        depth += 1
         labels = cluster(layer.select("id", "vector")) if n > 2 else layer.select("id", F.lit(0).alias("cluster"))
         labelled = cut_lineage(layer.join(labels, "id"))
         if labelled.select("cluster").distinct().count() >= n:
             labelled = labelled.withColumn("cluster", F.lit(0))
-        best = enrich.cluster_summary(labelled, "cluster", "id", "text", budget)
+        best = enrich.cluster_summary(labelled, "cluster", "id", "text")
         texts = best.groupBy("cluster").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "sentence"))), lambda s: s["sentence"]), " ").alias("text"))
         layer = cut_lineage(mean_vectors(labelled, ["cluster"]).join(texts, "cluster", "left").select(
             F.lit(depth).alias("layer"), F.concat_ws("-", F.lit(f"s{depth}"), "cluster").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "vector"))

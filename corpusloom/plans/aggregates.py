@@ -183,12 +183,25 @@ select "column", case "column" when 'k' then 'int' when 'p' then 'float' when 'd
  count(*) filter (kind = 'int') as int, count(*) filter (kind = 'float') as float, count(*) filter (kind = 'text') as text,
  count(*) filter (kind = 'datetime') as datetime, count(*) filter (kind = 'bool') as bool from g group by 1""")
 def g16(t):
+    return A.infer_types(order_cells(t), CELLS)
+
+
+CELLS = ["k", "p", "d", "b", "x", "big"]
+
+
+def order_cells(t):
+    """Orders as text cells: numbers, blanks, dates, yes and no, words, numbers too long for an integer."""
     price = F.when(F.col("o_orderstatus") == "P", "").otherwise(F.format_string("%.2f", "o_totalprice"))
-    cells = t.orders.select(
+    return t.orders.select(
         F.col("o_orderkey").cast("string").alias("k"), price.alias("p"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"),
         F.when(F.col("o_orderstatus") == "F", "yes").otherwise("No").alias("b"), F.col("o_orderpriority").alias("x"),
         F.concat(F.col("o_orderkey").cast("string"), F.lit("0" * 19)).alias("big"))
-    return A.infer_types(cells, ["k", "p", "d", "b", "x", "big"])
+
+
+@query("g16_cast_columns", """
+select o_orderkey as k, case when o_orderstatus <> 'P' then o_totalprice::double end as p, strftime(o_orderdate, '%Y-%m-%d') as d, case when o_orderstatus = 'F' then 'yes' else 'no' end as b, o_orderpriority as x, (o_orderkey::varchar || '0000000000000000000')::double as big from orders""")
+def g16_cast(t):
+    return A.cast_inferred(order_cells(t), CELLS).withColumn("d", F.date_format("d", "yyyy-MM-dd"))
 
 
 @query("g17_latency_summary", """

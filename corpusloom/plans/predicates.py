@@ -99,15 +99,9 @@ select 13, doc_id from ometa where key = 'day' and value <= '1993-06-30' union a
 select 15, doc_id from ometa where key = 'status' and lower(value) > '5'""")
 def p5(t):
     meta, ids = order_meta(t), t.orders.select(F.col("o_orderkey").alias("doc_id"))
-    parts = [
-        P.metadata_filter(meta, [{"op": op, "key": key, "value": value}], docs=ids if op == "empty" else None)
-        .select(F.lit(i).alias("clause"), "doc_id")
-        for i, (op, key, value) in enumerate(_META_CASES)
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    flags = P.metadata_flags(meta, [{"op": op, "key": key, "value": value} for op, key, value in _META_CASES], ids)
+    held = F.array(*[F.when(F.col(f"__c{i}"), F.lit(i)) for i in range(len(_META_CASES))])
+    return flags.select(F.explode(F.array_compact(held)).alias("clause"), "doc_id")
 
 
 @query("p6_clause_combination", f"""with {META_SQL}

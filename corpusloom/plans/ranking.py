@@ -54,11 +54,11 @@ def w3(t):
 
 
 @query("w4_best_per_key", """
-select label, vec_id, round(embedding[1]::double, 6) as score from embeddings qualify row_number() over (partition by label order by embedding[1] desc, vec_id) = 1""")
+select label, vec_id, round(s, 6) as score from (select label, vec_id, list_sum(embedding::double[]) as s from embeddings) qualify row_number() over (partition by label order by round(s, 6) desc, vec_id) = 1""")
 def w4(t):
-    scored = t.embeddings.select("label", "vec_id", F.get("embedding", F.lit(0)).cast("double").alias("score"))
+    scored = t.embeddings.select("label", "vec_id", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double")), 6).alias("score"))
     best = latest(scored, "label", F.struct(F.col("score"), -F.col("vec_id")))
-    return best.withColumn("score", F.round("score", 6)).orderBy(F.col("score").desc())
+    return best.orderBy(F.col("score").desc())
 
 
 LINES_SQL = f"""ln as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents),
@@ -245,11 +245,11 @@ def t5(t):
 
 
 @query("t6_scatter_gather", """
-select doc_id, lang, n_chars, case when lang = 'en' then source end as source from documents where n_chars > 300 and lang in ('en', 'fr', 'de') order by n_chars desc, doc_id limit 60""")
+select doc_id, lang, n_chars, case when lang = 'en' then source end as source from documents order by n_chars desc, doc_id limit 60""")
 def t6(t):
-    docs = t.documents.filter(F.col("n_chars") > 300)
+    docs = t.documents
     frames = [docs.filter(F.col("lang") == "en").select("doc_id", "lang", "n_chars", "source")]
-    frames += [docs.filter(F.col("lang") == lang).select("doc_id", "lang", "n_chars") for lang in ("fr", "de")]
+    frames += [docs.filter(F.col("lang") == lang).select("doc_id", "lang", "n_chars") for lang in ("fr", "de", "es")]
     return K.scatter_gather(frames, [F.col("n_chars").desc(), F.col("doc_id")], 60)
 
 

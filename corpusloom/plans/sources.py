@@ -87,6 +87,11 @@ def s6(t):
     return rows.unionByName(cursor)
 
 
+@query("s6_ids_only", "select distinct o_custkey::varchar as id from orders")
+def s6_ids(t):
+    return S.ids_only(t.orders, "o_custkey")
+
+
 @query("s7_row_documents", """
 with r as (select c_custkey, c_name, case when c_acctbal > 0 then c_mktsegment end as seg, c_nationkey from customer),
  b as (select *, '【c_name】:' || chr(10) || c_name || case when seg is not null then chr(10) || chr(10) || '【seg】:' || chr(10) || seg else '' end as body from r)

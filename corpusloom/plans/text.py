@@ -80,12 +80,12 @@ def x7(t):
 
 
 @query("x8_cjk_test", r"""
-with src as (select doc_id, lang, case when lang = 'es' then '第章节' || left(text, 8) else text end as text from documents)
+with src as (select doc_id, lang, case when lang = 'es' then '第章节' || regexp_replace(text, '[a-z]', '字', 'g') else text end as text from documents)
 select doc_id, length(regexp_replace(text, '[^一-鿿]', '', 'g')) / length(text) > 0.2 as han_share,
   len(words) <= 3 or len(list_filter(words, lambda w: not regexp_matches(w, '^[a-zA-Z]+$'))) / len(words) >= 0.7 as han_query
 from (select *, regexp_split_to_array(text, '[ \t]+') as words from src)""")
 def x8(t):
-    text = F.when(F.col("lang") == "es", F.concat(F.lit("第章节"), F.substring("text", 1, 8))).otherwise(F.col("text"))
+    text = F.when(F.col("lang") == "es", F.concat(F.lit("第章节"), F.regexp_replace("text", "[a-z]", "字"))).otherwise(F.col("text"))
     docs = t.documents.select("doc_id", text.alias("text"))
     return docs.select(
         "doc_id", X.is_chinese(F.col("text")).alias("han_share"), X.is_chinese_query(F.col("text")).alias("han_query"))
@@ -372,18 +372,15 @@ def x32(t):
 _MARKED = "text || ' (ID: ' || turn || ') [ID ' || conv_id || '] 【ID:' || (turn + 1) || '】 ref ' || conv_id || ' [3]'"
 
 
-@query("x33_citation_repair", r"""
-select conv_id, turn, text || case when turn < 5 then ' [ID:' || turn || ']' else ' (ID: ' || turn || ')' end
- || case when conv_id < 5 then ' [ID:' || conv_id || ']' else ' [ID ' || conv_id || ']' end
- || case when turn + 1 < 5 then ' [ID:' || (turn + 1) || ']' else ' 【ID:' || (turn + 1) || '】' end
- || case when conv_id < 5 then ' [ID:' || conv_id || ']' else ' ref ' || conv_id end || ' [3]' as repaired,
- array_to_string(list_sort(list_distinct(list_filter([turn, turn + 1, conv_id, 3], lambda x: x < 5))), ',') as cited
-from conversations where not regexp_matches(text, '(?i)ref\s*[0-9]|\[[0-9]+\]|ID')""")
+@query("x33_citation_repair", rf"""
+with m as (select conv_id, turn, {_MARKED} as t from conversations),
+ a as (select conv_id, turn, regexp_replace(regexp_replace(regexp_replace(t, '\(\s*ID\s*[: ]*\s*0*([0-4])\s*\)', '[ID:\1]', 'g'), '\[\s*ID\s*[: ]*\s*0*([0-4])\s*\]', '[ID:\1]', 'g'), '【\s*ID\s*[: ]*\s*0*([0-4])\s*】', '[ID:\1]', 'g') as t from m),
+ r as (select conv_id, turn, regexp_replace(t, '(?i)ref\s*0*([0-4])([^0-9]|$)', '[ID:\1]\2', 'g') as repaired from a)
+select *, array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(repaired, '\[(?:ID:)?([0-9]+)\]', 1), lambda x: x::bigint), lambda x: x < 5))), ',') as cited from r""")
 def x33(t):
     marked = F.concat(
         "text", F.lit(" (ID: "), "turn", F.lit(") [ID "), "conv_id", F.lit("] 【ID:"), F.col("turn") + 1, F.lit("】 ref "), "conv_id", F.lit(" [3]"))
-    plain = t.conversations.filter(~F.col("text").rlike(r"(?i)ref\s*[0-9]|\[[0-9]+\]|ID"))
-    repaired = plain.select("conv_id", "turn", X.repair_citations(marked, 5).alias("repaired"))
+    repaired = t.conversations.select("conv_id", "turn", X.repair_citations(marked, 5).alias("repaired"))
     return repaired.withColumn("cited", F.array_join(X.cited_ids(F.col("repaired"), 5), ","))
 
 

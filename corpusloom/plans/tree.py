@@ -78,7 +78,7 @@ def h7(t):
 @query("h8_prototypes", """
 with l as (select label, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as d from embeddings), a as (select 'L' || label as node, label, d, avg(x) as x from l group by all),
  m as (select 'M' || (label % 3) as node, d, avg(x) as x from a group by all), r as (select 'R' as node, d, avg(x) as x from m group by all)
-select node, round(x, 6) as first from a where d = 1 union all select node, round(x, 6) from m where d = 1 union all select node, round(x, 6) from r where d = 1""")
+select node, d::int - 1 as dim, round(x, 6) as value from a union all select node, d::int - 1, round(x, 6) from m union all select node, d::int - 1, round(x, 6) from r""")
 def h8(t):
     label = F.col("label")
     leaves = vectors(t).select(F.concat(F.lit("v"), "vec_id").alias("node"), "vector", F.concat(F.lit("L"), "label").alias("parent"))
@@ -88,25 +88,24 @@ def h8(t):
         labels.select(F.concat(F.lit("M"), label % 3).alias("node"), F.lit("R").alias("parent"), F.lit(2).alias("height")).distinct()).unionByName(
         labels.select(F.lit("R").alias("node"), F.lit(None).cast("string").alias("parent"), F.lit(3).alias("height")).distinct())
     known = H.prototypes(tree, leaves)
-    return known.filter(~F.startswith("node", F.lit("v"))).select("node", F.round(F.col("vector")[0], 6).alias("first"))
+    return known.filter(~F.startswith("node", F.lit("v"))).select("node", F.posexplode("vector").alias("dim", "value")).withColumn("value", F.round("value", 6))
 
 
 @query("h9_summary_layers")
 def h9(t):
     rows = vectors(t).join(t.documents.select(F.col("doc_id").alias("vec_id"), "text"), "vec_id")
     layers = H.summary_layers(rows, "vec_id", "vector", "text", lambda df: H.gap_clusters(df, "id", "vector", 4))
-    return layers.select("layer", "id", F.length("text").alias("size"))
+    return layers.select("layer", "id", "text", "vector")
 
 
-@query("h10_cluster_summary", rf"""with n as (select source, count(*) as n from documents group by 1),
- w as (select source, doc_id, array_to_string(regexp_split_to_array(text, '[ \t\r\n]+')[1:greatest(cast(floor(2000 / n) as int), 1)], ' ') as body from documents join n using (source)),
+@query("h10_cluster_summary", rf"""with w as (select source, doc_id, regexp_replace(text, '[ \t\r\n]+', ' ', 'g') as body from documents),
  p as (select source, doc_id, unnest(l) as sentence, generate_subscripts(l, 1) - 1 as spos from (select source, doc_id, string_split(regexp_replace(body, '([.!?]) ', '\1' || chr(1), 'g'), chr(1)) as l from w)),
  q as (select * from p where trim(sentence, E' \t\n\r\x0b\x0c') <> ''), tm as (select source, doc_id, spos, unnest(list_distinct({sql_tokens('sentence')})) as term from q), df as (select source, term, count(*) as df from tm group by all),
  sc as (select source, doc_id, spos, round(avg(ln(1 + df)), 6) as score from tm join df using (source, term) group by all)
 select source, doc_id, spos, score, row_number() over (partition by source order by score desc, doc_id, spos) as rank, md5(sentence) as sentence from sc join q using (source, doc_id, spos)
 qualify row_number() over (partition by source order by score desc, doc_id, spos) <= 3""")
 def h10(t):
-    out = E.cluster_summary(t.documents, "source", "doc_id", "text", 2000)
+    out = E.cluster_summary(t.documents, "source", "doc_id", "text")
     return out.select("source", "doc_id", F.col("spos").cast("long").alias("spos"), "score", "rank", F.md5("sentence").alias("sentence"))
 
 

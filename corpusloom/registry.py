@@ -27,8 +27,8 @@ class Tables:
         df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
         key = HEAVY_TABLES.get(name)
         cores = self.spark.sparkContext.defaultParallelism
-        if key and len(df.inputFiles()) < cores:
-            # Few files mean few tasks; a data set of many files is read as it lies.
+        if key and df.rdd.getNumPartitions() < cores:
+            # Fewer splits than cores: less than a split of data for each core. A larger table is read as it lies.
             df = df.repartition(cores, *([key, "turn"] if name == "conversations" else [key]))
         return df
 

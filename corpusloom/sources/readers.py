@@ -79,6 +79,11 @@ def time_window(df: DataFrame, ts: str, start=None, end=None, rule: str = "open_
     return df
 
 
+def ids_only(df: DataFrame, key: str) -> DataFrame:
+    """The ids that a source holds now, nothing else: what a prune compares with. Only the key column is read."""
+    return df.select(F.col(key).cast("string").alias("id")).filter(F.col("id").isNotNull()).distinct()
+
+
 def max_cursor(df: DataFrame, ts: str) -> DataFrame:
     return df.agg(F.max(ts).alias("cursor"))
 
