@@ -11,9 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.session import cut_lineage, scratch_path
+from corpusloom.session import scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANK = " \t\n\r\x0b\x0c"  # what separates words where a contract says [^\x20\x09-\x0D]+
@@ -164,24 +164,63 @@ def shared_runs(df: DataFrame, key: str, item: str, extra: tuple[str, ...] = ())
     return df.select(*cols).repartition(parts, key).sortWithinPartitions(*cols).mapInArrow(scan, schema)
 
 
+def _streamed(names: tuple[str, str], emit) -> object:
+    """A function over sorted batches of two long columns; ``emit(key, item, fresh, first)`` gives the pairs of a batch.
+
+    ``fresh`` marks the rows that begin a key, ``first`` is the item of the key's first row. Two numbers are kept
+    from batch to batch, so a key may have any number of rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # key, its first item, its last item
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, item = (batch.column(n).to_numpy(zero_copy_only=False) for n in names)
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = key[1:] != key[:-1]
+            before = np.empty(len(key), np.int64)
+            before[1:] = item[:-1]
+            if held is not None:
+                fresh[0], before[0] = key[0] != held[0], held[2]
+            begin = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), -1))
+            first = np.where(begin >= 0, item[begin], held[1] if held is not None else 0)
+            new = fresh | (item != before)
+            x, y = emit(key[new], item[new], fresh[new], first[new])
+            held = (key[-1], first[-1], item[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+
+    return run
+
+
+def _large_star(node, near, fresh, first):
+    """Larger neighbours move to the least of the node and its neighbours."""
+    up = near > node
+    return np.minimum(node, first)[up], near[up]
+
+
+def _small_star(node, near, fresh, first):
+    """A node and its smaller neighbours move to the least of these."""
+    return first, np.where(fresh, node, near)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the undirected ``edges (a, b)``: the least node it reaches.
 
-    Each round gives a node the least label of its neighbours and then follows that label, so the rounds grow with the
-    logarithm of the longest chain; it ends when nothing changes. Labels are written to the shared folder in between.
+    Large and small stars in turn until the edges are stars around the least nodes. A round is two shuffles of the
+    edges and streams sorted rows, so neither a hub nor a large component is held in a task; the rounds grow
+    with the logarithm of the longest chain. Edges are written to the shared folder after each round.
     """
-    links = cut_lineage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
-    labels = cut_lineage(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")))
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    now = stored(edges.filter("a <> b").select(low, high).distinct(), "edges")
+    mark = None
     while True:
-        near = links.join(labels, links["b"] == labels["node"]).groupBy(F.col("a").alias("n")).agg(F.min("component").alias("m"))
-        step = labels.join(near, labels["node"] == near["n"]).select("node", F.col("component").alias("old"), F.least("component", "m").alias("best"))
-        up = labels.select(F.col("node").alias("t"), F.col("component").alias("next"))
-        new = step.join(up, step["best"] == up["t"]).select("node", "old", F.least("best", "next").alias("component"))
-        new = cut_lineage(new)
-        if new.filter("old <> component").isEmpty():
-            return new.select("node", "component")
-        labels = new.select("node", "component")
-
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+        # Equal edges twice in a row mean that nothing moves any more.
+        new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if new == mark:
+            return now.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+        mark = new
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        large = both.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_streamed(("a", "b"), _large_star), "a long, b long")
+        small = large.repartition("b").sortWithinPartitions("b", "a").mapInArrow(_streamed(("b", "a"), _small_star), "a long, b long")
+        now = stored(small, "edges")

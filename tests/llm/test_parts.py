@@ -85,6 +85,27 @@ def test_similar_sets_share_a_signature(similarity):
                 assert np.intersect1d(schemes.signatures(a), schemes.signatures(other)).size
 
 
+@pytest.mark.parametrize("kind", ["chain", "stars", "random", "none"])
+def test_components(spark, kind):
+    rng = np.random.default_rng(4)
+    edges = {"chain": [(i, i + 1) for i in range(300)], "stars": [(9, -i) for i in range(200)] + [(500, 500 + i) for i in range(50)], "random": rng.integers(0, 400, (260, 2)).tolist(), "none": []}[kind]
+    root: dict[int, int] = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    frame = spark.createDataFrame([tuple(map(int, e)) for e in edges] * 2, "a long, b long")
+    rows = [tuple(r) for r in common.components(frame).collect()]
+    assert sorted(rows) == sorted((n, find(n)) for n in root)
+
+
 def test_common_counts():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 300, rng.integers(1, 80), dtype=np.uint64)) for _ in range(30)]
