@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import enrich, graph as G, ranking, sqlapi as Q, vector_search as S
+from corpusloom.operators import chunking, enrich, graph as G, ranking, sqlapi as Q, vector_search as S
 from corpusloom.streaming import incremental as I
 
 
@@ -147,3 +147,18 @@ def test_a_large_cluster_is_summarised_from_whole_texts(spark):
     texts = [(i, "c", f"Opening words number {i} here. " + "Shared closing sentence about storms.") for i in range(300)]
     out = enrich.cluster_summary(spark.createDataFrame(texts, "id long, cluster string, text string"), "cluster", "id", "text", 1).first()
     assert out["sentence"].startswith("Shared closing sentence")
+
+
+def test_folds_cross_block_borders(spark):
+    rng = random.Random(5)
+    lines = [" ".join("abc" for _ in range(rng.randrange(1, 9))) for _ in range(3 * chunking.FOLD_BLOCK + 17)]
+    want, open_, n = [], [], 0
+    for line in lines:
+        if open_ and n > 40:
+            want.append("".join(open_))
+            open_, n = [], 0
+        open_.append("\n" + line)
+        n += len(line.split())
+    want.append("".join(open_))
+    docs = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
+    assert [r["text"] for r in chunking.merge_sections(docs, "doc_id", "text", 40).orderBy("pos").collect()] == want
