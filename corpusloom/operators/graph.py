@@ -282,35 +282,54 @@ def largest_component(edges: DataFrame) -> DataFrame:
 # --- communities ---------------------------------------------------------------------------------------------------
 
 
-def modularity_communities(edges: DataFrame, rounds: int = 6, seed: int = 7) -> DataFrame:
-    """``(name, community)`` by local modularity moves.
+def modularity_communities(edges: DataFrame, seed: int = 7) -> DataFrame:
+    """``(name, community)`` by modularity: a sweep of local moves, then communities become nodes, until a sweep merges none."""
+    links = cut_lineage(both_ways(edges.filter(F.col("src") != F.col("dst"))))
+    # The strength of a node counts its loops twice; loops never pull it elsewhere.
+    nodes = cut_lineage(both_ways(edges).groupBy(F.col("src").alias("name")).agg(F.sum("weight").alias("k")))
+    labels = nodes.select("name", F.col("name").alias("community"))
+    while True:
+        moved = _local_moves(links, nodes, seed)
+        merged = moved.groupBy("community").agg(F.sum("k").alias("k"), F.count("*").alias("n"))
+        if merged.filter(F.col("n") > 1).isEmpty():
+            return labels
+        to = moved.select(F.col("name").alias("__n"), F.col("community").alias("__c"))
+        labels = cut_lineage(labels.join(to, labels["community"] == to["__n"]).select("name", F.col("__c").alias("community")))
+        end = lambda df, c: df.join(to, df[c] == to["__n"]).withColumn(c, F.col("__c")).drop("__n", "__c")
+        inner = end(end(links, "src"), "dst").filter(F.col("src") != F.col("dst"))
+        links = cut_lineage(inner.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+        nodes = cut_lineage(merged.select(F.col("community").alias("name"), "k"))
+        seed += 1
+
 
-    Every round each node looks at the communities of its neighbours and takes the best gain; a seeded hash lets only
-    half of the nodes move at a time, which stops neighbours from swapping for ever.
+def _local_moves(links: DataFrame, nodes: DataFrame, seed: int) -> DataFrame:
+    """``(name, community, k)``: one sweep that moves every node to the neighbouring community of the greatest gain.
+
+    A seeded hash lets one half of the nodes look first and the other half then, which stops neighbours from swapping. One sweep
+    is enough: what it leaves undone, the sweeps over the merged communities do.
     """
-    links = cut_lineage(both_ways(edges))
-    strength = cut_lineage(links.groupBy(F.col("src").alias("name")).agg(F.sum("weight").alias("k")))
-    total = strength.agg(F.sum("k")).first()[0] or 1.0
-    labels = strength.select("name", F.col("name").alias("community"), "k")
-    for i in range(rounds):
+    total = nodes.agg(F.sum("k")).first()[0] or 1.0
+    labels = nodes.select("name", F.col("name").alias("community"), "k")
+    for half in range(2):
         mass = labels.groupBy("community").agg(F.sum("k").alias("tot"))
         toward = links.join(labels.select(F.col("name").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("name"), "community").agg(F.sum("weight").alias("into"))
         own = labels.select("name", F.col("community").alias("own"), "k")
-        options = toward.join(own, "name").join(mass, "community")
+        # A node's own community is an option too, also when no neighbour is in it.
+        stay = own.select("name", F.col("own").alias("community"), F.lit(0.0).alias("into"))
+        options = toward.unionByName(stay).groupBy("name", "community").agg(F.sum("into").alias("into")).join(own, "name").join(mass, "community")
         rest = F.col("tot") - F.when(F.col("community") == F.col("own"), F.col("k")).otherwise(0.0)
         gain = F.round(F.col("into") - rest * F.col("k") / total, 9)
-        best = options.groupBy("name").agg(F.max_by("community", F.struct(gain, F.col("community") == F.col("own"), F.col("community"))).alias("__best"))
-        turn = F.pmod(F.xxhash64("name", F.lit(seed + i)), F.lit(2)) == 0
-        labels = cut_lineage(own.join(best, "name", "left").select(
-            "name", F.when(turn, F.coalesce("__best", "own")).otherwise(F.col("own")).alias("community"), "k"))
-    return labels.select("name", "community")
+        found = options.groupBy("name").agg(F.max_by("community", F.struct(gain, F.col("community") == F.col("own"), F.col("community"))).alias("__best"))
+        turn = F.pmod(F.xxhash64("name", F.lit(seed)), F.lit(2)) == half
+        labels = cut_lineage(own.join(found, "name").select("name", F.when(turn, F.col("__best")).otherwise(F.col("own")).alias("community"), "k"))
+    return labels
 
 
-def hierarchical_communities(edges: DataFrame, max_size: int = 12, levels: int = 3, rounds: int = 6, seed: int = 7) -> DataFrame:
-    """``(level, community, name)``: communities, and again inside those larger than ``max_size``."""
+def hierarchical_communities(edges: DataFrame, max_size: int = 12, levels: int = 3, seed: int = 7) -> DataFrame:
+    """``(level, community, name)``: communities, and again inside those larger than ``max_size``; ``levels`` deep at most."""
     out, inside, prefix = [], edges, None
     for level in range(levels):
-        found = modularity_communities(inside, rounds, seed + 100 * level)
+        found = modularity_communities(inside, seed + 100 * level)
         if prefix is not None:
             found = found.join(prefix, "name").select("name", F.concat_ws("/", "__p", "community").alias("community"))
         found = cut_lineage(found)
