@@ -30,6 +30,7 @@ FUNCTION_WORDS_EN = (
     r"|please|may|i|should|would|wouldn't|will|won't|done|go|for|with|so|the|a|an|by|i'm|it's|he's|she's|they"
     r"|they're|you're|as|by|on|in|at|up|out|down|of|to|or|and|if) "
 )
+# Fixed value: characters that a query loses.
 QUERY_PUNCTUATION = r"""[ :|\r\n\t,，。？?/`!！&^%()\[\]{}<>*~'"\\]+"""
 
 FULL_WIDTH = "".join(chr(0xFF01 + i) for i in range(94)) + "\u3000"
@@ -123,6 +124,7 @@ def newlines_to_space(c: Column) -> Column:
 
 def is_english(c: Column) -> Column:
     """More than 80 % of the characters are Latin letters, digits or common punctuation (not space)."""
+    # Fixed value: the characters that count as English.
     kept = F.regexp_replace(c, r"""[^`a-zA-Z0-9.,':;/"?<>!()\-]""", "")
     return F.coalesce(F.try_divide(F.length(kept), F.length(c)) > 0.8, F.lit(False))
 
@@ -251,6 +253,7 @@ def rm_question_words(c: Column) -> Column:
 def space_latin_cjk(c: Column) -> Column:
     """Put a space between Latin and CJK runs."""
     han = "一-龥"
+    # Where a space goes.
     for pattern in (
         f"([A-Za-z]+[0-9]+)([{han}]+)", f"([A-Za-z])([{han}]+)", f"([{han}]+)([A-Za-z]+[0-9]+)", f"([{han}]+)([A-Za-z])",
     ):

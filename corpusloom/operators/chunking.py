@@ -449,6 +449,7 @@ BULLET_FAMILIES = (
     ),
     (r"#[^#]", r"##[^#]", r"###.*", r"####.*", r"#####.*", r"######.*"),
 )
+# Fixed value: what looks like a bullet and is none.
 NOT_BULLET = r"^(0|[0-9]+ +[0-9~个只-]|[0-9]+\.{2,})"
 NOT_TITLE_MARKS = "[,;，。；！!]"
 

@@ -49,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not context.master.startswith("local["):
+    local = context.master.startswith("local") and not context.master.startswith("local-cluster")
+    if not named and not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpusloom-checkpoint-"))
 
