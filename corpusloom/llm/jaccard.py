@@ -8,7 +8,7 @@ subset of ``n2 - k2`` cells of a part. Sets that differ in at most ``k`` shingle
 shingles they are. Signatures of empty content are left out where enough others are left to keep that promise
 (``k // (k2 + 1) + 1`` parts with more than ``k2`` cells in use); a set with fewer sends the empty ones too.
 
-Equal sets are one node. Nodes that share a signature form clusters; in a cluster, ordered by size, blocks of ``BLOCK`` nodes
+Equal sets are one node. Nodes that share a signature form clusters; in a cluster, ordered by size, bounded blocks of nodes
 are compared with the blocks that their sizes allow, by counting common shingles in numpy, so a cluster of any size is many
 bounded groups and every candidate pair is verified exactly. A group sends back links that connect it, not all its pairs.
 
@@ -28,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.llm.common import components, hash_shingles, hash_words, mix, shared_runs, slices, stored
-from corpusloom.operators.running import row_numbers
+from corpusloom.operators.running import running_sum
 
-BLOCK = 256
+BLOCK = 1 << 20  # shingles that a block of sets holds
+BLOCK_SETS = 1024
 #: Tables of at most so many rows (three numbers each) are sent to every task; larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -90,25 +91,34 @@ def _node(items: np.ndarray) -> int:
 
 
 def common_counts(sets: list[np.ndarray], split: int) -> np.ndarray:
-    """How many items each of the first ``split`` sets has in common with each of the others (of all, if ``split`` is 0)."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    """How many items each of the first ``split`` sets has in common with each of the others (each with each, if ``split`` is 0).
+
+    Items of many sets are counted by products of 0/1 matrices, the others by the pairs of sets that hold them.
+    """
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
     values, place = np.unique(np.concatenate(sets), return_inverse=True)
-    several = np.bincount(place, minlength=len(values)) > 1
-    column = np.cumsum(several) - 1
-    keep = several[place]
-    owner, place = owner[keep], column[place[keep]]
+    held = np.bincount(place, minlength=len(values))
     order = np.argsort(place, kind="stable")
     owner, place = owner[order], place[order]
-    left = len(sets) if split == 0 else split
-    right = slice(0, None) if split == 0 else slice(split, None)
-    out = np.zeros((left, len(sets) - (right.start or 0)), np.int64)
+    often = held > max(8, n // 64)
+    out = np.zeros((n, n), np.int64)
+    rare = ((held > 1) & ~often)[place]
+    who, what = owner[rare], place[rare]
+    for k in range(1, int(held[~often].max(initial=1))):
+        pair = what[k:] == what[:-k]
+        out += np.bincount(who[:-k][pair] * n + who[k:][pair], minlength=n * n).reshape(n, n)
+    out += out.T
+    column = np.cumsum(often) - 1
+    dense_of = often[place]
+    who, what = owner[dense_of], column[place[dense_of]]
     step = 4096
-    for a in range(0, int(several.sum()), step):
-        i, j = np.searchsorted(place, [a, a + step])
-        dense = np.zeros((len(sets), step), np.float32)
-        dense[owner[i:j], place[i:j] - a] = 1
-        out += (dense[:left] @ dense[right].T).astype(np.int64)
-    return out
+    for a in range(0, int(often.sum()), step):
+        i, j = np.searchsorted(what, [a, a + step])
+        dense = np.zeros((n, step), np.float32)
+        dense[who[i:j], what[i:j] - a] = 1
+        out += (dense @ dense.T).astype(np.int64)
+    return out if split == 0 else out[:split, split:]
 
 
 def _links(nodes: list[int], sets: list[np.ndarray], split: int, similarity: Fraction) -> list[tuple[int, int]]:
@@ -227,15 +237,16 @@ def similar_sets(docs: DataFrame, doc_id: str, text: str, size: int, similarity:
 
 
 def _blocks(chosen: DataFrame) -> DataFrame:
-    """``chosen`` with the ``block`` of each node in its cluster: blocks of ``BLOCK`` nodes in order of size."""
-    sizes = chosen.groupBy("cluster").agg(F.count("*").alias("m"))
+    """``chosen`` with the ``block`` of each node in its cluster, in order of size: at most ``BLOCK`` shingles or one set, and ``BLOCK_SETS`` sets."""
+    room = F.greatest(F.col("n"), F.lit(max(1, BLOCK // BLOCK_SETS)))
+    sizes = chosen.groupBy("cluster").agg(F.sum(room).alias("m"))
     large = stored(sizes.filter(F.col("m") > BLOCK).select(F.col("cluster").alias("big")), "large-clusters")
     rows = chosen.join(large, chosen["cluster"] == large["big"], "left")
     small = rows.filter("big is null").drop("big").withColumn("block", F.lit(0).cast("long"))
     if large.isEmpty():
         return stored(small, "blocks")
-    ranked = row_numbers(rows.filter("big is not null").drop("big"), "cluster", ["n", "node"], "rank")
-    return stored(small.unionByName(ranked.withColumn("block", F.floor((F.col("rank") - 1) / BLOCK).cast("long")).drop("rank")), "blocks")
+    summed = running_sum(rows.filter("big is not null").drop("big"), "cluster", ["n", "node"], room, "upto")
+    return stored(small.unionByName(summed.withColumn("block", F.floor((F.col("upto") - room) / BLOCK).cast("long")).drop("upto")), "blocks")
 
 
 def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
