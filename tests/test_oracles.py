@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from corpusloom.registry import QUERIES
 from tools.check import TABLES, rows_of
 
 SAMPLE = (
@@ -22,7 +23,7 @@ NO_ORACLE = {
 
 def test_registry_is_complete():
     queries, oracles = entry.queries(), entry.oracle_sql()
-    assert set(queries) - set(oracles) == NO_ORACLE
+    assert set(QUERIES) <= set(queries) and set(QUERIES) - set(oracles) == NO_ORACLE
     sizes = {"s": 20, "p": 29, "j": 17, "g": 27, "w": 13, "t": 11, "x": 38, "k": 31, "r": 28, "e": 10, "n": 28, "h": 11, "i": 13, "q": 9}
     have = {name.split("_")[0] for name in queries}
     assert not [f"{a}{i}" for a, n in sizes.items() for i in range(1, n + 1) if f"{a}{i}" not in have]
