@@ -1,10 +1,10 @@
 """License scans over a positional index of rare words.
 
 The index holds, for each word of the license templates, the templates and positions it stands at. A word's weight is its
-inverse document frequency over all scanned texts. A file looks up only the ``rare`` heaviest license words that it has;
-each place of such a word and each posting give a relative position (where the template would begin in the file), and the
-lists are intersected: a template begins where two looked-up words (or the only one) agree. An alignment counts
-when the template's key phrase stands at its place and enough of the template's words do.
+inverse document frequency over all scanned texts. For each template a file looks up the ``rare`` heaviest words of the template's
+key phrase; each place of such a word and its posting give a relative position (where the template would begin in the file), and
+the lists are intersected. An alignment counts when the template's key phrase stands at its place and enough of the
+template's words do, so all looked-up words agree on it: none is lost, whatever other licenses the file holds.
 
 Everything happens inside the row, with array functions; only the document frequencies are aggregated (one row for each
 template word), so no text is shuffled. The templates are an argument, and what the plan holds of them (words, postings, weights)
@@ -72,10 +72,6 @@ def word_weights(docs: DataFrame, text: str = "text", templates: tuple[Template,
     return {w: math.log((1 + total) / (1 + found.get(w, 0))) for w in words}
 
 
-def _let(value: Column, then) -> Column:
-    return F.transform(F.array(value), then)[0]
-
-
 def _at(words: Column, i: Column) -> Column:
     return F.get(words, i)
 
@@ -93,24 +89,21 @@ def _places(words: Column, phrase: list[str]) -> Column:
     return F.when(last >= 0, F.filter(F.sequence(F.lit(0), last), stands)).otherwise(F.array().cast("array<int>"))
 
 
-def _alignment(words: Column, rare: Column, template: Template, weights: dict[str, float]) -> Column:
+def _alignment(words: Column, own_words: Column, template: Template, weights: dict[str, float], rare: int) -> Column:
     """The greatest share of the template's words that stand in place in an alignment with its key phrase; 0 without one."""
     own = words_in(template.text)
     key = words_in(template.key)
     key_at = next(i for i in range(len(own)) if own[i : i + len(key)] == key)
-    postings: dict[str, list[int]] = {}
-    for p, w in enumerate(own):
-        postings.setdefault(w, []).append(p)
-    index = F.create_map(*[x for w, ps in postings.items() for x in (F.lit(w), F.lit(ps).cast("array<int>"))])
-    mine = F.filter(rare, lambda w: w.isin(sorted(postings)))
+    first = {w: key_at + j for j, w in reversed(list(enumerate(key)))}  # a key word's posting
+    sought = sorted(first, key=lambda w: (-weights[w], w))[:rare]
 
     def starts(w):  # offset-adjusted list of a word: where the template would begin
         spots = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: _at(words, i) == w)
-        return F.array_distinct(F.flatten(F.transform(spots, lambda i: F.transform(F.element_at(index, w), lambda p: i - p))))
+        return F.transform(spots, lambda i: i - first[w])
 
-    def meet(lists):  # begins on which two looked-up words agree, or all of the only one
-        flat = F.flatten(lists)
-        return F.array_distinct(F.filter(flat, lambda s: F.size(F.filter(flat, lambda o: o == s)) >= F.least(F.lit(2), F.size(lists))))
+    meet = starts(sought[0])  # begins on which all looked-up words agree
+    for w in sought[1:]:
+        meet = F.array_intersect(meet, starts(w))
 
     def share(s):
         keyed = F.lit(True)
@@ -119,8 +112,10 @@ def _alignment(words: Column, rare: Column, template: Template, weights: dict[st
         same = F.aggregate(F.sequence(F.lit(0), F.lit(len(own) - 1)), F.lit(0), lambda a, j: a + F.when((s + j >= 0) & F.coalesce(_at(words, s + j) == F.lit(own)[j], F.lit(False)), 1).otherwise(0))
         return F.when(keyed & (s + key_at >= 0), same / F.lit(float(len(own)))).otherwise(F.lit(0.0))
 
-    best = F.coalesce(F.array_max(F.transform(meet(F.transform(mine, starts)), share)), F.lit(0.0))
-    return F.when(F.size(mine) > 0, best).otherwise(F.lit(0.0))
+    able = F.lit(True)
+    for w in first:
+        able = able & F.array_contains(own_words, w)
+    return F.when(able, F.coalesce(F.array_max(F.transform(meet, share)), F.lit(0.0))).otherwise(F.lit(0.0))
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES, rare: int = 6, least: float = 0.6, prefix: str = "") -> DataFrame:
@@ -130,7 +125,6 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: tuple[Template
     """
     weights = word_weights(docs, text, templates)
     vocabulary = sorted(weights)
-    order = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(weights[w]))])
     words, own = F.col("__w"), F.col("__own")
     base = docs.withColumn("__w", scan_words(F.col(text)))
     # A file without all words of any key phrase can have no label: the rest is not computed for it.
@@ -142,16 +136,12 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: tuple[Template
         for w in gate:
             every = every & F.array_contains(own, w)
         able = able | every
-    heaviest = F.slice(F.transform(F.array_sort(F.transform(own, lambda w: F.struct((-F.element_at(order, w)).alias("idf"), w.alias("w")))), lambda s: s["w"]), 1, rare)
     by_phrase = [_places(words, words_in(p)) for p, _ in PHRASES]
 
-    def answer(rare_words):
-        scores = [_alignment(words, rare_words, t, weights) for t in templates]
-        places = F.array(*by_phrase)
-        return F.struct(places.alias("places"), F.array(*scores).alias("scores"))
-
+    scores = [_alignment(words, own, t, weights, rare) for t in templates]
+    answer = F.struct(F.array(*by_phrase).alias("places"), F.array(*scores).alias("scores"))
     none = F.struct(F.array(*[F.array().cast("array<int>") for _ in PHRASES]).alias("places"), F.array(*[F.lit(0.0) for _ in templates]).alias("scores"))
-    found = base.withColumn("__a", F.when(able, _let(heaviest, answer)).otherwise(none))
+    found = base.withColumn("__a", F.when(able, answer).otherwise(none))
     places, scores = F.col("__a.places"), F.col("__a.scores")
     flat = F.flatten(places)
     named = lambda flags: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*flags)))), ",")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import common, jaccard, lm, passages, pii, quality, sharding, warc
+from corpusloom.llm import common, jaccard, licenses, lm, passages, pii, quality, sharding, warc
 
 
 def test_words_are_hashed_alike_wherever_they_stand():
@@ -212,3 +212,31 @@ def test_cleaned_documents_keep_their_columns(spark):
     docs = spark.createDataFrame([(1, good + "\nHome | About | Shop | Blog", 5), (2, "*** | *** | *** | ***", 6), (3, None, 7)], "doc_id int, text string, __quality int")
     rows = quality.clean_documents(docs).collect()
     assert [tuple(r) for r in rows] == [(1, good, 5)]
+
+
+def test_licenses_of_a_file_with_several(spark):
+    """Labels and scores against all positions of each template, in files that bundle licenses."""
+    rng = np.random.default_rng(8)
+    texts = [t.text for t in licenses.TEMPLATES]
+    files = ["\n".join(texts), "\n".join(texts[::-1])]
+    for _ in range(40):
+        parts = [texts[i] for i in rng.permutation(len(texts))[: rng.integers(2, 6)]]
+        for k, part in enumerate(parts):
+            w = part.split()
+            for _ in range(int(rng.integers(0, 8))):
+                w[int(rng.integers(0, len(w)))] = "other"
+            parts[k] = " ".join(w[int(rng.integers(0, 3)) :])
+        files.append(" filler and words ".join(parts))
+    files += ["permission is hereby granted " * 30, "of free and the in"] * 5
+    docs = spark.createDataFrame(list(enumerate(files)), "doc_id long, text string")
+    for r in licenses.scan_licenses(docs).collect():
+        w, labels, best = licenses.words_in(files[r["doc_id"]]), set(filter(None, r["base_labels"].split(","))), 0.0
+        for t in licenses.TEMPLATES:
+            own, key = licenses.words_in(t.text), licenses.words_in(t.key)
+            at = next(i for i in range(len(own)) if own[i : i + len(key)] == key)
+            for s in range(-at, len(w)):
+                if w[s + at : s + at + len(key)] == key:
+                    score = sum(0 <= s + j < len(w) and w[s + j] == x for j, x in enumerate(own)) / len(own)
+                    best = max(best, score)
+                    labels |= {t.label} if score >= 0.6 else set()
+        assert (r["labels"], r["score"]) == (",".join(sorted(labels)), pytest.approx(best))
