@@ -3,7 +3,7 @@
 The model is a bigram model: level 1 of the trie holds words (hashes) with their counts, level 2 the successors of each
 context. Both levels and the pointers between them are Elias-Fano sequences: contexts increase, pointers increase, and a
 successor is stored relative to its context, which makes the whole level increase. Probabilities of level 2 are joint relative
-frequencies quantised to a byte (exact for small counts, 6 % steps beyond). Each level is written to a file and
+frequencies quantised to 16 bits (exact to 1 023, steps of 0.1 % beyond, up to 2^63). Each level is written to a file and
 memory-mapped; a query is a successor search for the context, then one inside the context's range.
 
 Smoothing: ``P(w) = (c + 0.1) / (N + 0.1 (V + 1))`` for words (V types, one more for unknown words), and
@@ -41,6 +41,7 @@ WORD, PAIR = 0, 1
 _END, _START = np.uint64(0x5EED0E4D), np.uint64(0x5EED5747)
 _LOW = np.uint64(0xFFFFFF)
 SLICE = 4 << 20
+_EXACT, _STEP = 1023, 1.001  # counts up to _EXACT are their own codes
 
 
 # --- Elias-Fano -------------------------------------------------------------------------------------------------
@@ -118,13 +119,13 @@ def _mapped(data: np.ndarray) -> np.ndarray:
 
 
 def quantise(counts: np.ndarray) -> np.ndarray:
-    """Counts as bytes: 0 for none, themselves up to 63, then steps of 6 %."""
-    code = np.where(counts < 64, counts, 63 + np.rint(np.log(np.maximum(counts, 1) / 63) / np.log(1.06)))
-    return np.minimum(code, 255).astype(np.uint8)
+    """Counts as 16 bits: 0 for none, themselves up to 1 023, then steps of 0.1 %; the largest 64-bit count has code 37 762."""
+    beyond = _EXACT + np.rint(np.log(np.maximum(counts, 1) / _EXACT) / np.log(_STEP))
+    return np.where(counts <= _EXACT, counts, beyond).astype(np.uint16)
 
 
 def restored(codes: np.ndarray) -> np.ndarray:
-    return np.where(codes < 64, codes, 63 * 1.06 ** (codes.astype(np.float64) - 63))
+    return np.where(codes <= _EXACT, codes, _EXACT * _STEP ** (codes.astype(np.float64) - _EXACT))
 
 
 class WordLevel:
@@ -153,13 +154,13 @@ class PairLevel:
         self.codes = _mapped(quantise(counts))
 
     def ask(self, keys: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys), np.uint8)
+        out = np.zeros(len(keys), np.uint16)
         rank, known = self.contexts.successors(keys >> np.uint64(24))
         rank, mine = rank[known].astype(np.uint64), keys[known]
         begin, end = self.pointers.at(rank.astype(np.int64)), self.pointers.at(rank.astype(np.int64) + 1)
         index, equal = self.successors.successors((rank << np.uint64(24)) | (mine & _LOW))
         equal &= (index >= begin.astype(np.int64)) & (index < end.astype(np.int64))
-        codes = np.zeros(len(mine), np.uint8)
+        codes = np.zeros(len(mine), np.uint16)
         codes[equal] = self.codes[index[equal]]
         out[known] = codes
         return out
@@ -314,7 +315,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mu:
 
         def close() -> pa.RecordBatch:
             own = Slice(texts, shards)
-            counts, codes = np.frombuffer(b"".join(data[WORD]), np.int64), np.frombuffer(b"".join(data[PAIR]), np.uint8)
+            counts, codes = np.frombuffer(b"".join(data[WORD]), np.int64), np.frombuffer(b"".join(data[PAIR]), np.uint16)
             if len(counts) != len(own.words) or len(codes) != len(own.pairs):
                 raise RuntimeError("the input partitions changed between reads: pass stable=False")
             n, known, base, model = zip(*own.scores(counts, codes, total, types, mu))

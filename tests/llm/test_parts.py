@@ -41,6 +41,15 @@ def test_quantised_counts_are_near():
     assert np.abs(lm.restored(lm.quantise(c)) - c).max() <= 0.035 * 10**5 and (lm.restored(lm.quantise(np.arange(64))) == np.arange(64)).all()
 
 
+def test_no_count_saturates():
+    c = np.array([5 * 10**6, 2 * 10**7, 10**8, 2**40, 2**63 - 1])
+    level = lm.PairLevel(np.arange(len(c), dtype=np.uint64) << np.uint64(24), c)
+    got = lm.restored(level.ask(np.arange(len(c), dtype=np.uint64) << np.uint64(24)))
+    assert np.abs(got / c - 1).max() <= 0.001
+    small = np.arange(1024)
+    assert (lm.restored(lm.quantise(small)) == small).all()
+
+
 def test_compact_windows_are_the_cartesian_tree():
     rng = np.random.default_rng(3)
     for trial in range(60):
