@@ -250,7 +250,10 @@ def _blocks(chosen: DataFrame) -> DataFrame:
 
 
 def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
-    """``(row, doc_id, n_shingles, component_id)`` for each row of ``docs``: the smallest id that similar documents lead to, its own included."""
+    """``(row, doc_id, n_shingles, component_id, group)`` for each row of ``docs``: the smallest id that similar documents lead to, its own included.
+
+    ``group`` is the group's least node, which no other group has, whatever ids are null or repeat; it is null without words.
+    """
     documents, links = similar_sets(docs, doc_id, text, size, similarity)
     groups = components(links).select(F.col("node").alias("n"), F.col("component"))
     firsts = documents.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
@@ -259,9 +262,9 @@ def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     # Most nodes are alone; only the others look for the smallest id of their group.
     least = joined.join(links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct(), "node", "left_semi")
     least = least.groupBy("component").agg(F.min("first").alias("least"))
-    ids = joined.join(least, "component", "left").select("node", F.coalesce("least", "first").alias("component_id"))
+    ids = joined.join(least, "component", "left").select("node", F.coalesce("least", "first").alias("component_id"), F.col("component").alias("group"))
     out = documents.join(ids, "node", "left")
-    return out.select("row", "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("row", "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "group")
 
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -270,9 +273,9 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     Documents without words are similar to none and stay.
     """
     groups = similarity_groups(docs, doc_id, text, **how)
-    # Of the rows with the group's smallest id (one, unless ids repeat), the one with the least hash.
-    key = F.when(F.col("n_shingles") > 0, F.struct(F.lit(True).alias("grouped"), F.col("component_id").alias("id"))).otherwise(F.struct(F.lit(False).alias("grouped"), F.col("row").alias("id")))
-    best = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(key.alias("k")).agg(F.min("row").alias("row"))
+    # Of a group's rows the one with the smallest id (null is the last), then with the least hash.
+    key = F.when(F.col("n_shingles") > 0, F.struct(F.lit(True).alias("grouped"), F.col("group").alias("id"))).otherwise(F.struct(F.lit(False).alias("grouped"), F.col("row").alias("id")))
+    best = groups.groupBy(key.alias("k")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))["row"].alias("row"))
     keep = stored(best.select("row").distinct(), "kept")
     name = "__row"
     while name in docs.columns:

@@ -54,6 +54,19 @@ def test_repeated_rows_leave_one(spark):
     assert sorted(r["doc_id"] for r in got) == [1, 3] and got[0].keys() == {"doc_id", "text", "extra"}
 
 
+def test_groups_are_told_apart_by_their_texts(spark):
+    """Null ids and ids that repeat do not make one group of different texts."""
+    text = [" ".join(f"{c}{i}" for i in range(90)) for c in "abcdef"]
+    near = [t.replace("89", "x") for t in text]
+    rows = [(None, text[0]), (None, text[1]), (None, near[1]), (None, text[2]), (None, text[2]), (7, text[3]), (7, text[4]), (8, near[4]), (None, near[4]), (None, text[5]), (9, near[5]), (None, ""), (None, None)]
+    got = collected(corpus_pipeline.ngram_jaccard(spark, spark.createDataFrame(rows, "doc_id long, text string"), ""))
+    kept = Counter((r["doc_id"], r["text"]) for r in got)
+    assert sum(kept[None, t] for t in (text[1], near[1])) == 1
+    for t in (text[1], near[1]):
+        kept.pop((None, t), None)
+    assert kept == Counter([(None, text[0]), (None, text[2]), (7, text[3]), (7, text[4]), (9, near[5]), (None, ""), (None, None)])
+
+
 def test_run_over_the_tables(spark, data):
     rows = collected(corpus_pipeline.run(spark, data))
     assert rows and {"doc_id", "shard", "slot"} <= rows[0].keys()
