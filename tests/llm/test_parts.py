@@ -249,3 +249,40 @@ def test_licenses_of_a_file_with_several(spark):
                     best = max(best, score)
                     labels |= {t.label} if score >= 0.6 else set()
         assert (r["labels"], r["score"]) == (",".join(sorted(labels)), pytest.approx(best))
+
+
+def edited(rng, words, every, kind):
+    """``words`` with one word inserted or deleted after each ``every`` words."""
+    out = []
+    for i, w in enumerate(words):
+        if i % every == every - 1 and i + 1 < len(words):
+            if kind == "insert":
+                out += [w, f"n{rng.integers(0, 10**9)}"]
+        else:
+            out.append(w)
+    return out
+
+
+@pytest.mark.parametrize("kind", ["insert", "delete"])
+def test_passages_with_words_inserted_or_deleted(spark, kind):
+    """Planted near copies whose token sets are similar by a brute-force count are found over their diagonals."""
+    rng = np.random.default_rng(11)
+    text = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    token_set = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    rows, planted = [], {}
+    for k in range(60):
+        passage = text((70, 60, 400)[k % 3])
+        copy = edited(rng, passage, (35, 30, 49)[k % 3], kind)
+        both = token_set(passage) & token_set(copy)
+        rows += [(2 * k, " ".join(text(int(rng.integers(0, 300))) + passage + text(40))), (2 * k + 1, " ".join(text(int(rng.integers(0, 300))) + copy + text(40)))]
+        if len(both) >= 0.8 * len(token_set(passage) | token_set(copy)):
+            planted[2 * k, 2 * k + 1] = len(passage)
+    got = {}
+    for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        a, b = (r["doc_id"], r["start_word"], r["n_words"]), (r["other_id"], r["other_start"], r["other_words"])
+        x, y = (token_set(rows[i][1].split()[s : s + n]) for i, s, n in (a, b))
+        assert min(r["n_words"], r["other_words"]) >= 50 and len(x & y) >= 0.8 * len(x | y)
+        pair = tuple(sorted((r["doc_id"], r["other_id"])))
+        got[pair] = max(got.get(pair, 0), r["n_words"])
+    assert set(got) <= {(2 * k, 2 * k + 1) for k in range(60)}
+    assert len(planted) >= 40 and sum(got.get(p, 0) >= 0.8 * n for p, n in planted.items()) >= 0.9 * len(planted)
