@@ -1,9 +1,9 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 A window is a run of ``size`` words of a benchmark item (an item of fewer words is one window). The index stores postings (document,
-position) of the words that windows are looked up by: each window's two rarest words, by their counts over all documents.
-A window is looked up by its rarest words first: a posting minus the word's offset in the window is where the window would
-begin, and the offset-adjusted lists of the two words are intersected. What is left is verified against the document's words: all
+position) of the words that windows are looked up by: each window's rarest words, by their counts over all documents, two more
+than a match may differ in. A posting minus the word's offset in the window is where the window would
+begin, and starts on which two of the offset-adjusted lists agree are candidates, so no match is lost. What is left is verified against the document's words: all
 equal is an exact phrase match, ``near`` of them in place is a proximity match.
 
 The documents are cut into words twice (word counts, postings) and the candidates once more. Each document has one
@@ -57,13 +57,18 @@ def find_matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     places = phrases.select("phrase", "len", F.posexplode(F.split("phrase", " ")).alias("off", "term"))
     vocabulary = stored(places.select("term").distinct(), "vocabulary")
     counts = stored(_terms(rows, _sent(vocabulary), []).groupBy("term").agg(F.count("*").alias("n")), "term-counts")
-    # A window with a word that no document has cannot match; the others are looked up by their two rarest words.
-    known = places.join(counts, "term").groupBy("phrase", "len").agg(F.slice(F.array_sort(F.collect_list(F.struct("n", "off", "term"))), 1, 2).alias("rarest"), F.count("*").alias("have"))
-    anchors = stored(known.filter("have = len").select("phrase", "len", F.posexplode("rarest").alias("nth", "r")).select("phrase", "len", "nth", "r.off", "r.term"), "anchors")
+    # A match may differ in ``len - least`` words. Of that many places and two more, the rarest ones, two (or the only one) stand
+    # in place in every match, exact or near; words that no document has are among them and differ.
+    least = F.ceil(F.col("len") * F.lit(near)).cast("int")
+    known = places.join(counts, "term", "left").select("phrase", "len", "off", "term", F.coalesce("n", F.lit(0)).alias("n"))
+    known = known.groupBy("phrase", "len").agg(F.array_sort(F.collect_list(F.struct("n", "off", "term"))).alias("r"), F.count(F.when(F.col("n") > 0, 1)).alias("have"))
+    looked = known.filter(F.col("have") >= least).select("phrase", "len", F.least("len", F.col("len") - least + 2).alias("take"), least.alias("least"), "r")
+    looked = looked.select("phrase", "len", (F.col("take") - (F.col("len") - F.col("least"))).cast("int").alias("agree"), F.posexplode(F.slice(F.col("r"), F.lit(1), F.col("take"))).alias("nth", "r"))
+    anchors = stored(looked.filter("r.n > 0").select("phrase", "len", "agree", "nth", "r.off", "r.term"), "anchors")
     sought = anchors.select("term").distinct().unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
     postings = stored(_terms(rows, _sent(stored(sought, "anchor-terms")), ["doc", "doc_id"], F.array(F.lit(""))).select("doc", "doc_id", "pos", "term"), "postings")
-    begins = postings.join(_sent(anchors), "term").select("doc", "phrase", "len", "nth", (F.col("pos") - F.col("off")).alias("start")).filter("start >= 0")
-    met = begins.groupBy("doc", "phrase", "len", "start").agg(F.countDistinct("nth").alias("seen")).filter("seen = 2 or len = 1")
+    begins = postings.join(_sent(anchors), "term").select("doc", "phrase", "len", "agree", "nth", (F.col("pos") - F.col("off")).alias("start")).filter("start >= 0")
+    met = begins.groupBy("doc", "phrase", "len", "agree", "start").agg(F.countDistinct("nth").alias("seen")).filter("seen >= agree")
     candidates = stored(met.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "len", "phrase"))).alias("found")), "candidates")
     texts = rows.select("doc", "text").join(_sent(candidates), "doc")
     own = F.transform(alnum_words(F.col("text")), lower_ascii)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import common, jaccard, licenses, lm, passages, pii, quality, sharding, warc
+from corpusloom.llm import common, decontamination, jaccard, licenses, lm, passages, pii, quality, sharding, warc
 
 
 def test_words_are_hashed_alike_wherever_they_stand():
@@ -286,3 +286,30 @@ def test_passages_with_words_inserted_or_deleted(spark, kind):
         got[pair] = max(got.get(pair, 0), r["n_words"])
     assert set(got) <= {(2 * k, 2 * k + 1) for k in range(60)}
     assert len(planted) >= 40 and sum(got.get(p, 0) >= 0.8 * n for p, n in planted.items()) >= 0.9 * len(planted)
+
+
+def test_proximity_matches_are_all_found(spark):
+    """Matches against every place of every window: edits of rare words, words that no document has, short items."""
+    rng = np.random.default_rng(12)
+    text = lambda n: [f"w{int(i)}" for i in rng.zipf(1.3, n) % 500]
+    items = [text(n) for n in (13, 20, 5, 7, 1, 2)] + [text(6) + ["unknown"] + text(6), text(4) + ["no", "one"] + text(8)]
+    docs = []
+    for k in range(60):
+        item = list(items[k % len(items)])
+        for _ in range(k % 4):
+            item[int(rng.integers(0, len(item)))] = f"x{k}"
+        docs.append((k, " ".join(text(int(rng.integers(0, 30))) + ["known" if w in ("unknown", "no") else w for w in item] + text(3))))
+    wins = {tuple(w[i : i + 13]) for w in items for i in range(max(len(w) - 12, 1))}
+    want = set()
+    for i, t in docs:
+        w = t.split()
+        for win in wins:
+            for s in range(len(w)):
+                same = sum(a == b for a, b in zip(w[s:], win))
+                if same >= 0.8 * len(win):
+                    want.add((i, s, " ".join(win), same))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found, _ = decontamination.find_matches(frame, bench)
+    got = {(r["doc_id"], m["start"], m["phrase"], m["same"]) for r in found.collect() for m in r["matches"] or []}
+    assert got == want and sum(same < len(p.split()) for _, _, p, same in want) >= 20
