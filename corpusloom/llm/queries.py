@@ -6,7 +6,7 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, jaccard, licenses, lm, mixing, passages, pii, quality, sharding, warc
+from corpusloom.llm import conversations, decontamination, jaccard, licenses, lm, mixing, passages, pii, quality, sharding, warc
 from corpusloom.llm.registry import register, table
 from corpusloom.session import scratch_path
 
@@ -125,3 +125,8 @@ def op8(spark, sf_dir):
 @register("op10_repeated_passages")
 def op10(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@register("op13_conversation_repair")
+def op13(spark, sf_dir):
+    return conversations.repaired_digests(table(spark, sf_dir, "conversations"))

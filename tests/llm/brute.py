@@ -118,3 +118,66 @@ def shared_passages(a: str, b: str, words: int) -> bool:
     x, y = BLANK.findall(lower(a)), BLANK.findall(lower(b))
     runs = {tuple(x[i : i + words]) for i in range(len(x) - words + 1)}
     return any(tuple(y[i : i + words]) in runs for i in range(len(y) - words + 1))
+
+
+def damaged(rows: list[tuple]) -> dict:
+    """conv_id -> its rows (turn, role, text) after damage, in order."""
+    out: dict = {}
+    for conv, turn, role, text in rows:
+        own = out.setdefault(conv, [])
+        how = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if how:
+            row = (turn, "user" if how == 4 else role, "" if how == 1 else re.sub("[.!?]", "", text) if how == 2 else text)
+            own += [row] * (2 if how == 3 else 1)
+    for own in out.values():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2][:64], hashlib.md5(r[2].encode()).hexdigest()))
+    return out
+
+
+def faults(rows: list[tuple]) -> list[str]:
+    seen, out = set(), []
+    for _, role, text in rows:
+        bare = text.strip(" \t\n\r\x0b\x0c")
+        out.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def repair(rows: list[tuple]) -> dict:
+    """The numbers, the audit and the digest of one conversation: all edit sequences, cheapest first, then least by ASCII (uniform-cost search)."""
+    import heapq
+
+    fault = faults(rows)
+    grammar = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    names = {"u": "user", "a": "assistant"}
+    queue, done = [(0, "", 0, "")], set()
+    while True:
+        cost, audit, i, state = heapq.heappop(queue)
+        if i == len(rows) and state in ("", "a"):
+            break
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        fits = "a" if state == "u" else "u"
+        heapq.heappush(queue, (cost + 3, audit + "I", i, fits))
+        if i < len(rows):
+            heapq.heappush(queue, (cost + 4, audit + "D", i + 1, state))
+            if fault[i] not in ("blank", "duplicate"):
+                more = 3 * (fault[i] == "truncated")
+                heapq.heappush(queue, (cost + 3 + more, audit + "R", i + 1, fits))
+                if rows[i][1][:1] in grammar[state]:
+                    heapq.heappush(queue, (cost + more, audit + "K", i + 1, rows[i][1][0]))
+    lines, i, state = [], 0, ""
+    for edit in audit:
+        fits = "a" if state == "u" else "u"
+        role, text = ("", "") if edit == "I" else rows[i][1:]
+        i += edit != "I"
+        if edit != "D":
+            state = role[0] if edit == "K" else fits
+            lines.append(f"{role if edit == 'K' else names[fits]}:{text}")
+    turns = [r[0] for r in rows if r[0] is not None]
+    pairs = [(a[1][:1], b[1][:1]) for a, b in zip(rows, rows[1:])]
+    return {
+        "gaps": max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, **{k: fault.count(k) for k in ("blank", "duplicate", "truncated")},
+        "illegal": sum("".join(p) not in ("su", "ua", "au") for p in pairs), "cost": cost, "audit": audit, "repaired_sha256": hashlib.sha256("\n".join(lines).encode()).hexdigest()}

@@ -47,13 +47,15 @@ def cases(tmp_path_factory, spark):
     spark.createDataFrame([(i, t) for i, t in enumerate(bench)], "item_id long, text string").coalesce(1).write.parquet(f"{folder}/benchmark.parquet")
     html = [None, "", "<p>a</p>", "<p>a</p>", "x" * 200_000 + "é" * 50_000, "WARC/1.1\r\n\r\n\r\nWARC-Type: x", "<p>a</p>", "é" * 40_000, "0\r\n\r\n"]
     spark.createDataFrame([(9 - i, f"http://h/{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string").coalesce(2).write.parquet(f"{folder}/pages.parquet")
+    talk = [(c, t, ["system", "user", "assistant", None][(c + t) % 4], ["Yes.", "No", None, "Why?"][c * t % 4]) for c in range(12) for t in range(c)]
+    spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").coalesce(2).write.parquet(f"{folder}/conversations.parquet")
     return str(folder), rows, list(enumerate(bench)), [(9 - i, h) for i, h in enumerate(html)]
 
 
 @pytest.fixture(scope="session")
 def empty(tmp_path_factory, spark):
     folder = tmp_path_factory.mktemp("empty")
-    for name, schema in (("documents", SCHEMA), ("benchmark", "item_id long, text string"), ("pages", "page_id long, url string, html string")):
+    for name, schema in (("documents", SCHEMA), ("benchmark", "item_id long, text string"), ("pages", "page_id long, url string, html string"), ("conversations", "conv_id long, turn long, role string, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
