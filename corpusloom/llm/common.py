@@ -67,11 +67,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each blank-separated word (A-Z lower-cased) and, per text, where its words begin (one more at the end)."""
+def hash_words(texts: list[bytes], separators: np.ndarray = _IS_BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word (A-Z lower-cased) and, per text, where its words begin (one more at the end).
+
+    Words lie between ``separators``, a mark for each byte value; the newline must be among them.
+    """
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
     data = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
-    blank = _IS_BLANK[data]
+    blank = separators[data]
     begins = ~blank
     begins[1:] &= blank[:-1]
     starts = np.flatnonzero(begins)

@@ -6,7 +6,7 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from corpusloom.llm import conversations, decontamination, jaccard, licenses, lm, mixing, passages, pii, quality, sharding, warc
+from corpusloom.llm import conversations, decontamination, jaccard, licenses, lm, mixing, passages, phrases, pii, quality, sharding, warc
 from corpusloom.llm.registry import register, table
 from corpusloom.session import scratch_path
 
@@ -64,6 +64,22 @@ c as (select doc_id, len(ws) as n_words, length(regexp_replace(t, '[\x20\x09-\x0
 v as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and lost <= 0.5 * n_words as kept from v"""
 
+PHRASES_SQL = f"""
+with d as (select coalesce(lang, 'und') as lang, regexp_split_to_array({LOWER_SQL.format('text')}, '[.,;:!?\\x0A-\\x0D]') as ps from documents),
+p as (select lang, regexp_extract_all(x, '[^\\x20\\x09]+') as ws from (select lang, unnest(ps) as x from d)),
+g as (select lang, m, list_aggregate(ws[i:i + m - 1], 'string_agg', ' ') as phrase from (select lang, ws, m, unnest(range(1, len(ws) - m + 2)) as i from p, (values (1), (2), (3)) v(m))),
+c as (select lang, m, phrase, count(*) as a from g group by all),
+n as (select lang, sum(a) as n from c where m = 1 group by lang),
+t as (select lang, m, phrase, a, string_split(phrase, ' ') as w from c where m > 1 and a >= 10),
+cut as (select t.*, k, list_aggregate(w[1:k], 'string_agg', ' ') as lp, list_aggregate(w[k + 1:m], 'string_agg', ' ') as rp from t, (values (1), (2)) v(k) where k < m),
+s as (select cut.lang, cut.m, cut.phrase, cut.a, k, x.a as l, y.a as r, (1000000::hugeint * cut.a * cut.a) // (x.a::hugeint * y.a) as score
+  from cut join c x on x.lang = cut.lang and x.phrase = cut.lp join c y on y.lang = cut.lang and y.phrase = cut.rp),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+i as (select lang, sub, max(a) as around from (select lang, a, list_aggregate(w[1:2], 'string_agg', ' ') as sub from t where m = 3 union all select lang, a, list_aggregate(w[2:3], 'string_agg', ' ') from t where m = 3) group by all),
+f as (select b.* from b left join i on i.lang = b.lang and i.sub = b.phrase where around is null or 100 * around < 50 * b.a),
+o as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from f)
+select o.lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from o join n using (lang) where rank <= 2000"""
+
 
 @register("op9_quality_rules", QUALITY_SQL)
 def op9(spark, sf_dir):
@@ -130,3 +146,8 @@ def op10(spark, sf_dir):
 @register("op13_conversation_repair")
 def op13(spark, sf_dir):
     return conversations.repaired_digests(table(spark, sf_dir, "conversations"))
+
+
+@register("op12_phrase_mining", PHRASES_SQL)
+def op12(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))

@@ -181,3 +181,25 @@ def repair(rows: list[tuple]) -> dict:
     return {
         "gaps": max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, **{k: fault.count(k) for k in ("blank", "duplicate", "truncated")},
         "illegal": sum("".join(p) not in ("su", "ua", "au") for p in pairs), "cost": cost, "audit": audit, "repaired_sha256": hashlib.sha256("\n".join(lines).encode()).hexdigest()}
+
+
+def collocations(docs: list[tuple], least: int, longest: int, share: int, top: int) -> list[tuple]:
+    """(lang, rank, phrase, a, l, r, n, score) for (lang, text)."""
+    counts: dict[str, Counter] = {}
+    for lang, text in docs:
+        own = counts.setdefault("und" if lang is None else lang, Counter())
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            own.update(tuple(w[i : i + m]) for m in range(1, longest + 1) for i in range(len(w) - m + 1))
+    out = []
+    for lang, own in counts.items():
+        cands = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        rows = []
+        for p, a in cands.items():
+            if any(100 * b >= share * a for q, b in cands.items() if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q)))):
+                continue
+            score, k = min((1000000 * a * a // (own[p[:k]] * own[p[k:]]), k) for k in range(1, len(p)))
+            rows.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        n = sum(a for p, a in own.items() if len(p) == 1)
+        out += [(lang, i + 1, p.decode(), -a, l, r, n, -s) for i, (s, a, p, l, r) in enumerate(sorted(rows)[:top])]
+    return out
