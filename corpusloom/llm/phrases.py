@@ -1,13 +1,16 @@
 """Phrase collocations by dynamic itemset counting: phrases of several lengths are counted in the same cyclic scans of shards.
 
 The words are cut once into ``SHARDS`` shards. Scan ``t`` reads shard ``t mod SHARDS`` only. Words are counted from the first scan; a longer
-phrase starts to be counted in the scan that first meets it after both its subphrases (without its last word, without
-its first) have reached the threshold, and ends when it has been through one full cycle, so each occurrence is counted once and
-every count is exact. The scans end when a whole cycle has started nothing new and all cycles are full.
+phrase is active in the scans after both its subphrases (without its last word, without its first) have reached the threshold,
+and stays so until it has been through one full cycle: a shard's occurrences are counted in the first scan of the shard that finds the phrase
+active and passed over in later ones, so each occurrence is counted once and every count is exact. The scans end when all shards
+have been read since a subphrase last reached the threshold.
 
-What has reached the threshold is told to the tasks as a bitmap of hashed phrases, sized by their number and at most ``MAX_BITS`` bits.
-A false hit only starts a phrase too early: it is counted in full like any other and falls below the threshold at the end. Each
-task combines its counts before they are shuffled by phrase, so no word, phrase or language makes a hot group.
+What has reached the threshold is told to the tasks as a bitmap of hashed phrases. Its size comes from the number of words and is at most
+``MAX_BITS`` bits; it stays the same and bits are only added, so a phrase that is active once stays active. A false hit only
+activates a phrase too early: it is counted in full like any other and falls below the threshold at the end. Each
+task combines its counts before they are shuffled by phrase, so no word, phrase or language makes a hot group. Phrases of the longest
+kind activate nothing and are shuffled once, after the last scan.
 
 Words are 64-bit hashes of language and bytes until the end (two words of one language that share a hash would count as one; the
 chance is about n * n / 2 ** 65); the dictionary joins their texts to the candidates. Products are decimals of 38 digits: exact for counts up to 10 ** 16.
@@ -33,7 +36,7 @@ SHARDS = 4
 BLOCK = 1 << 18
 #: Distinct phrases that a task holds before it passes its counts on.
 HELD = 1 << 20
-MIN_BITS, MAX_BITS = 1 << 20, 1 << 28
+MIN_BITS, MAX_BITS = 1 << 20, 1 << 27
 
 _ENDS = np.zeros(256, bool)  # what ends a piece
 _ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -105,11 +108,8 @@ def _marks(keys: list[np.ndarray], bits: int) -> np.ndarray:
     return (h & np.uint64(bits - 1)).astype(np.int64)
 
 
-def _bitmap(large: DataFrame, n: int, length: int) -> bytes:
-    """The bits of ``n`` phrases ``(k array)``. At most ``MAX_BITS`` bits come to the driver."""
-    bits = MIN_BITS
-    while bits < min(16 * n, MAX_BITS):
-        bits *= 2
+def _bitmap(large: DataFrame, bits: int, length: int) -> bytes:
+    """The bits of phrases ``(k array)``. At most ``MAX_BITS`` bits come to the driver."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,16 +125,27 @@ def _bitmap(large: DataFrame, n: int, length: int) -> bytes:
     return bytes(out)
 
 
-def _scan(blocks: DataFrame, lengths: list[int], bitmaps) -> DataFrame:
-    """``(k, n)``: the phrases of these lengths in a shard whose subphrases the bitmaps have, counted per task."""
+def _scan(blocks: DataFrame, lengths: list[int], sent) -> DataFrame:
+    """``(k, n)``: the phrases of these lengths in a shard that are active now and were not in the shard's last scan, counted per task.
+
+    ``sent`` is a broadcast of two bitmaps (now, last scan) for each length of subphrases.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        large = {m: np.frombuffer(b, np.uint8) for m, b in bitmaps.value.items()}
+        large = {m: [None if b is None else np.frombuffer(b, np.uint8) for b in both] for m, both in sent.value.items()}
         held: dict[int, list[pa.Table]] = {m: [] for m in lengths}
 
-        def has(m: int, keys: list[np.ndarray]) -> np.ndarray:
-            at = _marks(keys, len(large[m]) * 8)
-            return (large[m][at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+        def fresh(m: int, keys: list[np.ndarray]) -> np.ndarray:
+            """Whether both subphrases are in the first bitmap and not both in the second."""
+            out = np.ones(len(keys[0]), bool)
+            places = [_marks(sub, len(large[m][0]) * 8) for sub in (keys[:-1], keys[1:])]
+            for bits, wanted in zip(large[m], (True, False)):
+                if bits is not None:
+                    hit = np.ones(len(keys[0]), bool)
+                    for at in places:
+                        hit &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+                    out &= hit == wanted
+            return out
 
         def combined(m: int) -> pa.Table:
             whole = pa.concat_tables(held[m])
@@ -158,7 +169,7 @@ def _scan(blocks: DataFrame, lengths: list[int], bitmaps) -> DataFrame:
                     at = np.flatnonzero(ok)
                     keys = [words[at + j] for j in range(m)]
                     if m > 1 and len(at):
-                        good = has(m - 1, keys[:-1]) & has(m - 1, keys[1:])
+                        good = fresh(m - 1, keys)
                         keys = [k[good] for k in keys]
                     if not len(keys[0]):
                         continue
@@ -185,42 +196,48 @@ def count_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lang",
     spark = docs.sparkSession
     words = shard_words(docs, lang, text, longest)
     dictionary = stored(words.filter("shard = -1").groupBy("h").agg(F.min("word").alias("word"), F.min("lang").alias("lang")), "dictionary")
-    states: dict[int, DataFrame] = {}
-    large = {0: 1} | {m: 0 for m in range(1, longest + 1)}
-    started = dict.fromkeys(range(1, longest + 1), 0)  # the last scan that started a phrase of this length
-    changed = {0: -1} | dict.fromkeys(range(1, longest + 1), 0)  # the last scan that made one large
-    bitmaps: dict[int, bytes] = {}
+    total = words.filter("shard >= 0").agg(F.sum("own")).first()[0] or 0
+    bits = MIN_BITS
+    while bits < min(16 * total // least, MAX_BITS):
+        bits *= 2
+    counts: dict[int, DataFrame] = {}  # of each length but the longest, as far as counted
+    scans: list[DataFrame] = []
+    large = dict.fromkeys(range(1, longest), 0)
+    changed = {0: -1} | dict.fromkeys(range(1, longest), 0)  # the last scan that brought a phrase of this length to the threshold
+    maps: list[dict[int, bytes]] = [{}]  # what had reached it before each scan
     t = 0
-    while True:
-        # A length is through when all its cycles are full and a whole cycle has seen its last subphrases.
-        through = {m: t >= max(started[m] + SHARDS, changed[m - 1] + SHARDS + 1) for m in range(1, longest + 1)}
-        if all(through.values()):
-            break
-        lengths = [m for m in range(1, longest + 1) if not through[m] and large[m - 1]]
-        sent = spark.sparkContext.broadcast({m: b for m, b in bitmaps.items() if m + 1 in lengths})
-        seen = stored(_scan(words.filter(F.col("shard") == t % SHARDS), lengths, sent), "scan")
-        for m in lengths:
-            met = seen.filter(F.size("k") == m).select("k", F.lit(t).alias("start"), F.lit(0).cast("long").alias("n"), F.col("n").alias("now"))
-            if m in states:
-                met = met.unionByName(states[m].withColumn("now", F.lit(0).cast("long")))
-            merged = met.groupBy("k").agg(F.min("start").alias("start"), F.sum("n").alias("n"), F.sum("now").alias("now"))
-            counted = F.col("n") + F.when(F.col("start") + SHARDS > t, F.col("now")).otherwise(0)
-            states[m] = stored(merged.select("k", "start", counted.alias("n")), "counts")
-            n, last = states[m].agg(F.count(F.when(F.col("n") >= least, 1)), F.max("start")).first()
-            started[m] = max(started[m], last or 0)
-            if n != large[m]:
-                large[m], changed[m] = n, t
-                if m < longest:
-                    bitmaps[m] = _bitmap(states[m].filter(F.col("n") >= least), n, m)
-        sent.unpersist()
+    while t <= max(changed.values()) + SHARDS:
+        before = maps[t - SHARDS] if t >= SHARDS else {}
+        # Words are read in the first cycle, longer phrases where the bitmap is not what the shard's last scan had.
+        lengths = [m for m in range(1, longest + 1) if (t < SHARDS if m == 1 else m - 1 in maps[t] and maps[t][m - 1] is not before.get(m - 1))]
+        now = dict(maps[t])
+        if lengths:
+            sent = spark.sparkContext.broadcast({m - 1: (maps[t][m - 1], before.get(m - 1)) for m in lengths if m > 1})
+            seen = stored(_scan(words.filter(F.col("shard") == t % SHARDS), lengths, sent), "scan")
+            scans.append(seen)
+            for m in lengths:
+                if m == longest and m > 1:
+                    continue
+                met = seen.filter(F.size("k") == m)
+                counts[m] = stored((met.unionByName(counts[m]) if m in counts else met).groupBy("k").agg(F.sum("n").alias("n")), "counts")
+                reached = counts[m].filter(F.col("n") >= least)
+                n = reached.count()
+                if m < longest and n != large[m]:
+                    large[m], changed[m], now[m] = n, t, _bitmap(reached, bits, m)
+            sent.unpersist()
+        maps.append(now)
+        if t >= SHARDS:
+            maps[t - SHARDS] = {}
         t += 1
-    counts = None
-    for m, state in states.items():
-        own = state.select("k", "n") if m == 1 else state.filter(F.col("n") >= least).select("k", "n")
-        counts = own if counts is None else counts.unionByName(own)
-    if counts is None:
-        counts = spark.createDataFrame([], "k array<long>, n long")
-    return counts, dictionary
+    out = counts.get(1, spark.createDataFrame([], "k array<long>, n long"))
+    for m in range(2, longest):
+        out = out.unionByName(counts[m].filter(F.col("n") >= least)) if m in counts else out
+    if scans and longest > 1:
+        last = scans[0]
+        for seen in scans[1:]:
+            last = last.unionByName(seen)
+        out = out.unionByName(last.filter(F.size("k") == longest).groupBy("k").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+    return out, dictionary
 
 
 def _exact(n: str | Column) -> Column:
