@@ -9,8 +9,8 @@ have been read since a subphrase last reached the threshold.
 What has reached the threshold is told to the tasks as a bitmap of hashed phrases. Its size comes from the number of words and is at most
 ``MAX_BITS`` bits; it stays the same and bits are only added, so a phrase that is active once stays active. A false hit only
 activates a phrase too early: it is counted in full like any other and falls below the threshold at the end. Each
-task combines its counts before they are shuffled by phrase, so no word, phrase or language makes a hot group. Phrases of the longest
-kind activate nothing and are shuffled once, after the last scan.
+task combines its counts before they are shuffled by phrase, so no word, phrase or language makes a hot group. Phrases that are through
+below the threshold leave the counts.
 
 Words are 64-bit hashes of language and bytes until the end (two words of one language that share a hash would count as one; the
 chance is about n * n / 2 ** 65); the dictionary joins their texts to the candidates. Products are decimals of 38 digits: exact for counts up to 10 ** 16.
@@ -27,11 +27,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusloom.llm.common import hash_words, mix, slices, stored
+from corpusloom.llm.common import hash_words, mix, removed, slices, stored
 from corpusloom.session import scratch_path
 
 #: Shards of a cycle.
-SHARDS = 4
+SHARDS = 3
 #: Words of a block, the unit that is put into a shard.
 BLOCK = 1 << 18
 #: Distinct phrases that a task holds before it passes its counts on.
@@ -96,7 +96,7 @@ def shard_words(docs: DataFrame, lang: str, text: str, longest: int) -> DataFram
     own = F.coalesce(F.col(lang).cast("string"), F.lit("und"))
     rows = docs.select(F.col(text).alias("text"), own.alias("lang"), F.xxhash64(own).alias("lang_hash"))
     path = scratch_path(docs.sparkSession, "shards")
-    rows.mapInArrow(cut, schema).write.partitionBy("shard").parquet(path)
+    rows.mapInArrow(cut, schema).write.partitionBy("shard").option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -109,15 +109,15 @@ def _marks(keys: list[np.ndarray], bits: int) -> np.ndarray:
 
 
 def _bitmap(large: DataFrame, bits: int, length: int) -> bytes:
-    """The bits of phrases ``(k array)``. At most ``MAX_BITS`` bits come to the driver."""
+    """The bits of phrases of one length. At most ``MAX_BITS`` bits come to the driver."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).flatten().to_numpy().view(np.uint64).reshape(-1, length)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_marks(list(keys.T), bits)))], names=["bit"])
+            keys = [batch.column(i).to_numpy().view(np.uint64) for i in range(length)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_marks(keys, bits)))], names=["bit"])
 
     per = 32768  # bits of one value of bitmap_construct_agg
-    rows = large.select("k").mapInArrow(places, "bit long").groupBy((F.col("bit") / per).cast("long").alias("bucket")).agg(F.bitmap_construct_agg(F.col("bit") % per).alias("bits")).collect()
+    rows = large.select(*[f"k{i}" for i in range(length)]).mapInArrow(places, "bit long").groupBy((F.col("bit") / per).cast("long").alias("bucket")).agg(F.bitmap_construct_agg(F.col("bit") % per).alias("bits")).collect()
     out = bytearray(bits // 8)
     for r in rows:
         at = r["bucket"] * per // 8
@@ -125,8 +125,8 @@ def _bitmap(large: DataFrame, bits: int, length: int) -> bytes:
     return bytes(out)
 
 
-def _scan(blocks: DataFrame, lengths: list[int], sent) -> DataFrame:
-    """``(k, n)``: the phrases of these lengths in a shard that are active now and were not in the shard's last scan, counted per task.
+def _scan(blocks: DataFrame, lengths: list[int], longest: int, sent) -> DataFrame:
+    """``(k0, k1, ..., n)``: the phrases of these lengths in a shard that are active now and were not in the shard's last scan, counted per task.
 
     ``sent`` is a broadcast of two bitmaps (now, last scan) for each length of subphrases.
     """
@@ -154,9 +154,8 @@ def _scan(blocks: DataFrame, lengths: list[int], sent) -> DataFrame:
 
         def passed(m: int) -> pa.RecordBatch:
             t = combined(m)
-            keys = np.stack([t.column(i).to_numpy() for i in range(m)], axis=1).reshape(-1)
-            offsets = pa.array(np.arange(t.num_rows + 1, dtype=np.int32) * m)
-            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(keys)), t.column("n").combine_chunks()], names=["k", "n"])
+            keys = [t.column(i).combine_chunks() if i < m else pa.nulls(t.num_rows, pa.int64()) for i in range(longest)]
+            return pa.RecordBatch.from_arrays([*keys, t.column("n").combine_chunks()], names=[*(f"k{i}" for i in range(longest)), "n"])
 
         for batch in batches:
             for own, raw, flags in zip(*(batch.column(c).to_pylist() for c in ("own", "words", "joined"))):
@@ -185,7 +184,7 @@ def _scan(blocks: DataFrame, lengths: list[int], sent) -> DataFrame:
             if held[m]:
                 yield passed(m)
 
-    return blocks.select("own", "words", "joined").mapInArrow(count, "k array<long>, n long")
+    return blocks.select("own", "words", "joined").mapInArrow(count, ", ".join([f"k{i} long" for i in range(longest)]) + ", n long")
 
 
 def count_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -200,8 +199,9 @@ def count_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lang",
     bits = MIN_BITS
     while bits < min(16 * total // least, MAX_BITS):
         bits *= 2
-    counts: dict[int, DataFrame] = {}  # of each length but the longest, as far as counted
-    scans: list[DataFrame] = []
+    keys = [f"k{i}" for i in range(longest)]
+    length = sum((F.col(k).isNotNull().cast("int") for k in keys), F.lit(0))
+    counts, path = None, None  # keys, start (the scan a phrase was first met in) and n, as far as counted
     large = dict.fromkeys(range(1, longest), 0)
     changed = {0: -1} | dict.fromkeys(range(1, longest), 0)  # the last scan that brought a phrase of this length to the threshold
     maps: list[dict[int, bytes]] = [{}]  # what had reached it before each scan
@@ -213,31 +213,27 @@ def count_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lang",
         now = dict(maps[t])
         if lengths:
             sent = spark.sparkContext.broadcast({m - 1: (maps[t][m - 1], before.get(m - 1)) for m in lengths if m > 1})
-            seen = stored(_scan(words.filter(F.col("shard") == t % SHARDS), lengths, sent), "scan")
-            scans.append(seen)
-            for m in lengths:
-                if m == longest and m > 1:
-                    continue
-                met = seen.filter(F.size("k") == m)
-                counts[m] = stored((met.unionByName(counts[m]) if m in counts else met).groupBy("k").agg(F.sum("n").alias("n")), "counts")
-                reached = counts[m].filter(F.col("n") >= least)
-                n = reached.count()
-                if m < longest and n != large[m]:
-                    large[m], changed[m], now[m] = n, t, _bitmap(reached, bits, m)
+            seen = _scan(words.filter(F.col("shard") == t % SHARDS), lengths, longest, sent).withColumn("start", F.lit(t))
+            merged = (seen if counts is None else seen.unionByName(counts)).groupBy(*keys).agg(F.min("start").alias("start"), F.sum("n").alias("n"))
+            # Through a full cycle and below the threshold: never met again.
+            merged = merged.filter(F.col(keys[0]).isNotNull() if longest == 1 else F.col("k1").isNull() | (F.col("n") >= least) | (F.col("start") > t - SHARDS + 1))
+            old, path = path, scratch_path(spark, "counts")
+            merged.write.parquet(path)
+            counts = spark.read.schema(merged.schema).parquet(path)
+            if old:
+                removed(spark, old)
+            reached = {r["m"]: r["n"] for r in counts.filter(F.col("n") >= least).groupBy(length.alias("m")).agg(F.count("*").alias("n")).collect()}
+            for m in range(1, longest):
+                if reached.get(m, 0) != large[m]:
+                    of_length = counts.filter((F.col("n") >= least) & (length == m))
+                    large[m], changed[m], now[m] = reached[m], t, _bitmap(of_length, bits, m)
             sent.unpersist()
         maps.append(now)
         if t >= SHARDS:
             maps[t - SHARDS] = {}
         t += 1
-    out = counts.get(1, spark.createDataFrame([], "k array<long>, n long"))
-    for m in range(2, longest):
-        out = out.unionByName(counts[m].filter(F.col("n") >= least)) if m in counts else out
-    if scans and longest > 1:
-        last = scans[0]
-        for seen in scans[1:]:
-            last = last.unionByName(seen)
-        out = out.unionByName(last.filter(F.size("k") == longest).groupBy("k").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
-    return out, dictionary
+    done = counts.filter((length == 1) | (F.col("n") >= least))
+    return done.select(F.slice(F.array(*keys), F.lit(1), length).alias("k"), "n"), dictionary
 
 
 def _exact(n: str | Column) -> Column:
