@@ -33,9 +33,9 @@ from corpusloom.session import scratch_path
 #: Shards of a cycle.
 SHARDS = 3
 #: Words of a block, the unit that is put into a shard.
-BLOCK = 1 << 18
+BLOCK = 1 << 16
 #: Distinct phrases that a task holds before it passes its counts on.
-HELD = 1 << 20
+HELD = 1 << 18
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 27
 
 _ENDS = np.zeros(256, bool)  # what ends a piece
@@ -61,7 +61,7 @@ def shard_words(docs: DataFrame, lang: str, text: str, longest: int) -> DataFram
         shard = TaskContext.get().partitionId()
         known = np.empty(0, np.uint64)  # words already passed on by this task, in order
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in slices(batch, "text", 1 << 20):
                 raw = b"\n".join([*texts, b""]).lower()
                 data = np.frombuffer(raw, np.uint8)
                 gap = _GAPS[data]
@@ -76,7 +76,7 @@ def shard_words(docs: DataFrame, lang: str, text: str, longest: int) -> DataFram
                 piece = np.cumsum(_ENDS[data])[starts]
                 joined = np.append(piece[1:] == piece[:-1], False)
                 distinct, at = np.unique(hashes, return_index=True)
-                new = ~np.isin(distinct, known)
+                new = known[np.minimum(np.searchsorted(known, distinct), len(known) - 1)] != distinct if len(known) else np.ones(len(distinct), bool)
                 if new.any():
                     ends = np.append(np.flatnonzero(gap), len(data))
                     at = at[new]
@@ -85,7 +85,7 @@ def shard_words(docs: DataFrame, lang: str, text: str, longest: int) -> DataFram
                     langs = part.column("lang").take(pa.array(row[at]))
                     texts_of = pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[at], stop)], pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, -1, np.int32)), *(pa.nulls(n, k) for k in kinds[1:4]), pa.array(distinct[new].view(np.int64)), texts_of, langs.cast(pa.string())], names=names)
-                    known = np.union1d(known, distinct[new]) if len(known) < HELD else distinct[new]
+                    known = np.sort(np.concatenate([known, distinct[new]]) if len(known) < 4 * HELD else distinct[new], kind="stable")
                 for a in range(0, len(hashes), BLOCK):
                     b = min(a + BLOCK, len(hashes))
                     upto = min(b + longest - 1, len(hashes))
@@ -158,8 +158,9 @@ def _scan(blocks: DataFrame, lengths: list[int], longest: int, sent) -> DataFram
             return pa.RecordBatch.from_arrays([*keys, t.column("n").combine_chunks()], names=[*(f"k{i}" for i in range(longest)), "n"])
 
         for batch in batches:
-            for own, raw, flags in zip(*(batch.column(c).to_pylist() for c in ("own", "words", "joined"))):
-                words, joined = np.frombuffer(raw, np.uint64), np.frombuffer(flags, bool)
+            for i in range(batch.num_rows):
+                own = batch.column("own")[i].as_py()
+                words, joined = (np.frombuffer(batch.column(c)[i].as_buffer(), kind) for c, kind in (("words", np.uint64), ("joined", bool)))
                 for m in lengths:
                     last = min(own, len(words) - m + 1)
                     ok = np.ones(max(last, 0), bool)
