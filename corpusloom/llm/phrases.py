@@ -46,7 +46,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shard_words(docs: DataFrame, lang: str, text: str, longest: int) -> DataFrame:
-    """The stored words: blocks ``(shard, own, words, joined)`` and, under shard -1, the dictionary ``(h, word, lang)``.
+    """The stored words: blocks ``(shard, own, words, joined)``; under shard -1, the dictionary ``(h, word, lang)``; under -2, ``h`` words of a ``lang``.
 
     ``words`` are hashes, ``joined`` tells whether the next word is in the same piece; a phrase belongs to the block among whose first
     ``own`` words it begins.
@@ -75,6 +75,10 @@ def shard_words(docs: DataFrame, lang: str, text: str, longest: int) -> DataFram
                 hashes = mix(hashes ^ part.column("lang_hash").to_numpy().view(np.uint64)[row])
                 piece = np.cumsum(_ENDS[data])[starts]
                 joined = np.append(piece[1:] == piece[:-1], False)
+                n = np.bincount(row, minlength=len(texts))
+                for name, total in pa.table([part.column("lang"), pa.array(n)], names=["lang", "n"]).group_by("lang").aggregate([("n", "sum")]).to_pandas().itertuples(index=False):
+                    values = [[-2], [None], [None], [None], [int(total)], [None], [name]]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
                 distinct, at = np.unique(hashes, return_index=True)
                 new = known[np.minimum(np.searchsorted(known, distinct), len(known) - 1)] != distinct if len(known) else np.ones(len(distinct), bool)
                 if new.any():
@@ -188,14 +192,28 @@ def _scan(blocks: DataFrame, lengths: list[int], longest: int, sent) -> DataFram
     return blocks.select("own", "words", "joined").mapInArrow(count, ", ".join([f"k{i} long" for i in range(longest)]) + ", n long")
 
 
-def count_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(counts, dictionary)``: ``(k, n)`` of every word, and of every phrase of up to ``longest`` words that occurs ``least`` times or more.
+def _dictionary(words: DataFrame, bits: bytes) -> DataFrame:
+    """``(h, word, lang)`` of the words that the bitmap has, each once. The bitmap keeps rare words from being shuffled."""
+    sent = words.sparkSession.sparkContext.broadcast(bits)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        large = np.frombuffer(sent.value, np.uint8)
+        for batch in batches:
+            at = _marks([batch.column("h").to_numpy().view(np.uint64)], len(large) * 8)
+            yield batch.filter(pa.array((large[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0))
+
+    rows = words.filter("shard = -1").select("h", "word", "lang")
+    return rows.mapInArrow(known, rows.schema).groupBy("h").agg(F.min("word").alias("word"), F.min("lang").alias("lang"))
+
+
+def count_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(counts, dictionary, sizes)``: ``(k, n)`` of every phrase of up to ``longest`` words that occurs ``least`` times or more.
 
-    ``k`` are the hashes of the phrase's words; dictionary: ``(h, word, lang)``.
+    ``k`` are the hashes of the phrase's words; dictionary: ``(h, word, lang)`` of its words; sizes: ``(lang, n)``, all words of a language.
     """
     spark = docs.sparkSession
     words = shard_words(docs, lang, text, longest)
-    dictionary = stored(words.filter("shard = -1").groupBy("h").agg(F.min("word").alias("word"), F.min("lang").alias("lang")), "dictionary")
+    sizes = words.filter("shard = -2").groupBy("lang").agg(F.sum("h").alias("n"))
     total = words.filter("shard >= 0").agg(F.sum("own")).first()[0] or 0
     bits = MIN_BITS
     while bits < min(16 * total // least, MAX_BITS):
@@ -215,11 +233,12 @@ def count_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lang",
         if lengths:
             sent = spark.sparkContext.broadcast({m - 1: (maps[t][m - 1], before.get(m - 1)) for m in lengths if m > 1})
             seen = _scan(words.filter(F.col("shard") == t % SHARDS), lengths, longest, sent).withColumn("start", F.lit(t))
-            merged = (seen if counts is None else seen.unionByName(counts)).groupBy(*keys).agg(F.min("start").alias("start"), F.sum("n").alias("n"))
-            # Through a full cycle and below the threshold: never met again.
-            merged = merged.filter(F.col(keys[0]).isNotNull() if longest == 1 else F.col("k1").isNull() | (F.col("n") >= least) | (F.col("start") > t - SHARDS + 1))
+            merged = (seen if counts is None else seen.unionByName(counts)).repartition(*keys).groupBy(*keys).agg(F.min("start").alias("start"), F.sum("n").alias("n"))
+            # Through a full cycle and below the threshold: never met again. Words are through after the first cycle.
+            begun = F.col("start") if longest == 1 else F.when(F.col("k1").isNull(), 0).otherwise(F.col("start"))
+            merged = merged.filter((F.col("n") >= least) | (begun > t - SHARDS + 1))
             old, path = path, scratch_path(spark, "counts")
-            merged.write.parquet(path)
+            merged.write.option("parquet.enable.dictionary", "false").parquet(path)
             counts = spark.read.schema(merged.schema).parquet(path)
             if old:
                 removed(spark, old)
@@ -233,8 +252,8 @@ def count_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lang",
         if t >= SHARDS:
             maps[t - SHARDS] = {}
         t += 1
-    done = counts.filter((length == 1) | (F.col("n") >= least))
-    return done.select(F.slice(F.array(*keys), F.lit(1), length).alias("k"), "n"), dictionary
+    dictionary = _dictionary(words, maps[-1].get(1, bytes(MIN_BITS // 8)))
+    return counts.filter(F.col("n") >= least).select(F.slice(F.array(*keys), F.lit(1), length).alias("k"), "n"), dictionary, sizes
 
 
 def _exact(n: str | Column) -> Column:
@@ -247,7 +266,7 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, share: int
     A phrase scores ``floor(1000000 a a / (l r))`` at the cut where that is least (the first of them). Phrases inside a longer one
     that has at least ``share`` hundredths of their occurrences are left out.
     """
-    counts, dictionary = count_phrases(docs, least, longest, lang, text)
+    counts, dictionary, sizes = count_phrases(docs, least, longest, lang, text)
     counts = stored(counts, "phrases")
     phrases = counts.filter((F.size("k") > 1) & (F.col("n") >= least)).select("k", F.col("n").alias("a"))
     cuts = phrases.select("k", "a", F.explode(F.sequence(F.lit(1), F.size("k") - 1)).alias("cut"))
@@ -262,7 +281,6 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, share: int
     kept = scored.join(around, "k", "left").filter(F.coalesce(100 * F.col("around") < share * F.col("a"), F.lit(True)))
     kept = stored(kept.select("k", "a", "best.*").drop("cut"), "candidates")
     named = kept.select("k", F.posexplode("k").alias("at", "h")).join(dictionary, "h").groupBy("k").agg(F.array_join(F.array_sort(F.collect_list(F.struct("at", "word")))["word"], " ").alias("phrase"), F.min("lang").alias("lang"))
-    sizes = counts.filter(F.size("k") == 1).select(F.get("k", F.lit(0)).alias("h"), "n").join(dictionary, "h").groupBy("lang").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     ranked = kept.join(named, "k").withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
