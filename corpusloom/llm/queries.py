@@ -6,7 +6,7 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from corpusloom.llm import conversations, decontamination, jaccard, licenses, lm, mixing, passages, phrases, pii, quality, sharding, warc
+from corpusloom.llm import conversations, decontamination, jaccard, langid, licenses, lm, mixing, passages, phrases, pii, quality, sharding, warc
 from corpusloom.llm.registry import register, table
 from corpusloom.session import scratch_path
 
@@ -151,3 +151,11 @@ def op13(spark, sf_dir):
 @register("op12_phrase_mining", PHRASES_SQL)
 def op12(spark, sf_dir):
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op11_language_id")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held = langid.is_held_out(F.col("doc_id"))
+    net = langid.learn(docs, ~held)
+    return langid.identify(docs, net, ["doc_id"]).select("doc_id", held.alias("held_out"), "lang_pred", "score")
