@@ -12,11 +12,21 @@ from corpusloom.operators import chunking as C
 
 # Text between semicolons: quoted text, quoted names and comments are taken whole.
 STATEMENT = re.compile(r"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|[^;])+""", re.DOTALL)
-_PLANS = "org.apache.spark.sql.catalyst.plans.logical."
+# What a query may be made of, by the class names of its parsed plan. Everything else is refused: commands, scripts, writes, table functions.
+QUERY_NODES = frozenset({
+    "Aggregate", "Deduplicate", "Distinct", "Except", "Filter", "Generate", "GlobalLimit", "Intersect", "Join", "LateralJoin", "LocalLimit", "LocalRelation", "Offset", "OneRowRelation",
+    "Pivot", "Project", "Sort", "SubqueryAlias", "Union", "Unpivot", "UnresolvedHaving", "UnresolvedInlineTable", "UnresolvedRelation", "UnresolvedSubqueryColumnAliases", "UnresolvedWith",
+    "UnresolvedOrderBy", "WithWindowDefinition"})
+# Functions that call code by its name.
+REFLECTION = frozenset({"java_method", "reflect", "try_reflect"})
 
 
 class RefusedStatement(ValueError):
-    """A statement that would change data."""
+    """A statement that is not a query over the session's views."""
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
 
 
 @dataclass
@@ -54,17 +64,35 @@ class SqlSession:
         return df if self.row_limit is None else df.limit(self.row_limit)
 
     def is_query(self, statement: str) -> bool:
-        """Whether the parsed statement reads only: nothing in its plan is a command or changes a table."""
-        jvm = self.spark._jvm
-        names = [jvm.java.lang.Class.forName(_PLANS + n) for n in ("Command", "ParsedStatement")]
-        todo = [self.spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)]
-        while todo:
-            plan = todo.pop()
-            if any(n.isInstance(plan) for n in names):
-                return False
-            children = plan.children()
-            todo += [children.apply(i) for i in range(children.size())]
-        return True
+        """Whether the parsed statement only reads this session's views, through the plan nodes and functions that a query may have."""
+        return self._reads(self.spark._jsparkSession.sessionState().sqlParser().parsePlan(statement), frozenset(v.lower() for v in self.views))
+
+    def _reads(self, plan, known: frozenset[str]) -> bool:
+        kind = plan.getClass().getSimpleName()
+        if kind not in QUERY_NODES:
+            return False
+        if kind == "UnresolvedRelation":
+            parts = _items(plan.multipartIdentifier())
+            return len(parts) == 1 and parts[0].lower() in known
+        if kind == "UnresolvedWith":
+            # A named query sees those before it; only the statement below sees them all. A recursive one sees itself.
+            for named in _items(plan.cteRelations()):
+                name = named._1().lower()
+                if not self._reads(named._2(), known | {name} if plan.allowRecursion() else known):
+                    return False
+                known |= {name}
+        return all(self._reads(c, known) for c in _items(plan.children())) and all(self._calls(e, known) for e in _items(plan.expressions()))
+
+    def _calls(self, expression, known: frozenset[str]) -> bool:
+        kind = expression.getClass().getSimpleName()
+        if kind.startswith("ExpressionWithUnresolved"):  # a name that is only known when it runs
+            return False
+        if kind == "UnresolvedFunction" and _items(expression.nameParts())[-1].lower() in REFLECTION:
+            return False
+        subquery = self.spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.expressions.PlanExpression")
+        if subquery.isInstance(expression) and not self._reads(expression.plan(), known):
+            return False
+        return all(self._calls(c, known) for c in _items(expression.children()))
 
     def run_all(self, statements: str) -> list[DataFrame]:
         """Statements separated by semicolons; refused ones are skipped."""

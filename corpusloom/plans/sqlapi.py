@@ -72,7 +72,7 @@ def q6(t):
     return s.run("select doc_id, round(match_share(content_ltks, :q), 6) as share from q_tokens where match_share(content_ltks, :q) >= 0.3", {"q": "the of and erthing zzz"})
 
 
-@query("q7_source_rows", """(select cast(c_custkey as varchar) as key, c_name as name from (select distinct c_custkey, c_name from customer join orders on c_custkey = o_custkey where o_totalprice > 400000) order by c_custkey limit 20)
+@query("q7_source_rows", """(select cast(c_custkey as varchar) as key, c_name as name from (select distinct c_custkey, c_name from customer join orders on c_custkey = o_custkey where o_totalprice > 400000))
 union all select 'total', cast(count(*) as varchar) from orders where o_totalprice > 400000""")
 def q7(t):
     filtered = t.orders.filter("o_totalprice > 400000").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
