@@ -17,7 +17,7 @@ from corpusloom.session import scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANK = " \t\n\r\x0b\x0c"  # what separates words where a contract says [^\x20\x09-\x0D]+
-ALNUM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # words of letters and digits, before lower-casing A-Z
+NOT_ALNUM = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # what lies between words of letters and digits
 
 
 def lower_ascii(text: Column) -> Column:
@@ -27,7 +27,7 @@ def lower_ascii(text: Column) -> Column:
 
 def alnum_words(text: Column) -> Column:
     """The letter-and-digit words of a text as an array, in their own case; null is empty."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(ALNUM), F.lit(0))
+    return F.filter(F.split(F.coalesce(text, F.lit("")), NOT_ALNUM), lambda w: w != "")
 
 
 def document_key(doc_id: Column, text: Column) -> Column:

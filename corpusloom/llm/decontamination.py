@@ -2,14 +2,16 @@
 
 A window is a run of ``size`` words of a benchmark item (an item of fewer words is one window). The index stores postings (document,
 position) of the words that windows are looked up by: each window's rarest words, by their counts over all documents, two more
-than a match may differ in. A posting minus the word's offset in the window is where the window would
-begin, and starts on which two of the offset-adjusted lists agree are candidates, so no match is lost. What is left is verified against the document's words: all
-equal is an exact phrase match, ``near`` of them in place is a proximity match.
+than a match may differ in. A posting minus the word's position in the item is the alignment of item and document; windows of an item
+share it, so a word is met once for an item and not once for a window. An alignment on which as many of the offset-adjusted lists
+agree as a match must have is a candidate, so no match is lost. What is left is verified word by word: all
+of a window equal is an exact phrase match, ``near`` of them in place is a proximity match.
 
 The documents are cut into words twice (word counts, postings) and the candidates once more. Each document has one
-more posting, of the empty word, at the position behind its last word: its length. No text is shuffled while the candidate documents
-fit ``BROADCAST_ROWS``; beyond it they meet their texts in a shuffle join. Postings are spread by document, so a word or a
-passage that a third of all documents has makes no large group. Only DataFrame functions are used.
+more posting, of the empty word, at the position behind its last word: its length. Postings meet in one shuffle of (document, item,
+alignment), counted before it. No text is shuffled while the candidates fit ``BROADCAST_ROWS``; beyond it they meet their texts in a
+shuffle join. Postings are spread by document, so a word or a passage that a third of all documents has makes no large group. Only
+DataFrame functions are used.
 
 Null and empty texts have no words and are never contaminated; items without words are dropped; repeated rows, repeated
 items and windows that several items share are counted once for each document; an empty benchmark contaminates nothing.
@@ -21,13 +23,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.llm.common import alnum_words, document_key, lower_ascii, stored
 
-#: Tables of at most so many rows (each a short string or two) are sent to every task; larger ones are joined by shuffle.
+#: Tables of at most so many rows (of a few numbers and short strings) are sent to every task; larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
 
-def _sent(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if its size allows it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _sent(df: DataFrame, size: Column | None = None) -> DataFrame:
+    """A written table, marked for broadcast if its size allows it; ``size`` is what a row counts for, else 1."""
+    n = df.count() if size is None else df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
 def windows_of(items: DataFrame, item: str, text: str, size: int) -> DataFrame:
@@ -53,34 +56,51 @@ def find_matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), document_key(F.col(doc_id), F.col(text)).alias("doc"), F.col(text).alias("text"))
     windows = stored(windows_of(items, item, item_text, size), "windows")
-    phrases = windows.select("phrase", "len").distinct()
-    places = phrases.select("phrase", "len", F.posexplode(F.split("phrase", " ")).alias("off", "term"))
-    vocabulary = stored(places.select("term").distinct(), "vocabulary")
+    # Equal items are one sequence of words.
+    words = F.transform(alnum_words(F.col(item_text)), lower_ascii)
+    sequences = stored(items.select(words.alias("w")).filter(F.size("w") > 0).distinct().select(F.monotonically_increasing_id().alias("seq"), "w"), "sequences")
+    vocabulary = stored(sequences.select(F.explode("w").alias("term")).distinct(), "vocabulary")
     counts = stored(_terms(rows, _sent(vocabulary), []).groupBy("term").agg(F.count("*").alias("n")), "term-counts")
     # A match may differ in ``len - least`` words. Of that many places and two more, the rarest ones, two (or the only one) stand
     # in place in every match, exact or near; words that no document has are among them and differ.
+    length = F.least(F.size("w"), F.lit(size))
     least = F.ceil(F.col("len") * F.lit(near)).cast("int")
-    known = places.join(counts, "term", "left").select("phrase", "len", "off", "term", F.coalesce("n", F.lit(0)).alias("n"))
-    known = known.groupBy("phrase", "len").agg(F.array_sort(F.collect_list(F.struct("n", "off", "term"))).alias("r"), F.count(F.when(F.col("n") > 0, 1)).alias("have"))
-    looked = known.filter(F.col("have") >= least).select("phrase", "len", F.least("len", F.col("len") - least + 2).alias("take"), least.alias("least"), "r")
-    looked = looked.select("phrase", "len", (F.col("take") - (F.col("len") - F.col("least"))).cast("int").alias("agree"), F.posexplode(F.slice(F.col("r"), F.lit(1), F.col("take"))).alias("nth", "r"))
-    anchors = stored(looked.filter("r.n > 0").select("phrase", "len", "agree", "nth", "r.off", "r.term"), "anchors")
+    starts = F.sequence(F.lit(0), F.size("w") - F.col("len"))
+    places = sequences.withColumn("len", length).select("seq", "len", F.explode(starts).alias("s"), "w").select("seq", "s", "len", F.posexplode(F.slice("w", F.col("s") + 1, F.col("len"))).alias("off", "term"))
+    known = places.join(counts, "term", "left").select("seq", "s", "len", "term", (F.col("s") + F.col("off")).alias("at"), F.coalesce("n", F.lit(0)).alias("n"))
+    known = known.groupBy("seq", "s", "len").agg(F.array_sort(F.collect_list(F.struct("n", "at", "term"))).alias("r"), F.count(F.when(F.col("n") > 0, 1)).alias("have"))
+    looked = known.filter(F.col("have") >= least).select("seq", F.least("len", F.col("len") - least + 2).alias("take"), (F.col("len") - least).alias("differ"), "r")
+    looked = looked.select("seq", (F.col("take") - F.col("differ")).alias("agree"), F.explode(F.slice(F.col("r"), F.lit(1), F.col("take"))).alias("r"))
+    anchors = looked.filter("r.n > 0").groupBy("seq", "r.at", "r.term").agg(F.min("agree").alias("agree"))
+    agree = anchors.groupBy("seq").agg(F.min("agree").alias("agree"))
+    anchors = stored(anchors.drop("agree"), "anchors")
     sought = anchors.select("term").distinct().unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
     postings = stored(_terms(rows, _sent(stored(sought, "anchor-terms")), ["doc", "doc_id"], F.array(F.lit(""))).select("doc", "doc_id", "pos", "term"), "postings")
-    begins = postings.join(_sent(anchors), "term").select("doc", "phrase", "len", "agree", "nth", (F.col("pos") - F.col("off")).alias("start")).filter("start >= 0")
-    met = begins.groupBy("doc", "phrase", "len", "agree", "start").agg(F.countDistinct("nth").alias("seen")).filter("seen >= agree")
-    candidates = stored(met.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "len", "phrase"))).alias("found")), "candidates")
-    texts = rows.select("doc", "text").join(_sent(candidates), "doc")
+    # A row repeated in ``docs`` repeats its postings and may so become a candidate, which the words then decide.
+    aligned = postings.join(_sent(anchors), "term").select("doc", "seq", (F.col("pos") - F.col("at")).alias("diag"))
+    met = aligned.groupBy("doc", "seq", "diag").agg(F.count("*").alias("seen"))
+    needed = _sent(stored(agree.join(sequences.select("seq", F.size("w").alias("n")), "seq"), "needed"))
+    met = met.join(needed, "seq").filter("seen >= agree")
+    candidates = stored(met.groupBy("doc").agg(F.collect_list(F.struct("seq", "diag", "n")).alias("found")), "candidates")
+    texts = rows.select("doc", "text").join(_sent(candidates, F.size("found")), "doc")
     own = F.transform(alnum_words(F.col("text")), lower_ascii)
 
-    def compare(words):
-        def one(c):
-            same = F.aggregate(F.zip_with(F.slice(words, c["start"] + 1, c["len"]), F.split(c["phrase"], " "), lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int")), F.lit(0), lambda a, x: a + x)
-            return F.struct(c["start"].alias("start"), c["len"].alias("len"), c["phrase"].alias("phrase"), same.alias("same"))
+    def cut(words):
+        return F.transform("found", lambda c: F.struct(c["seq"].alias("seq"), c["diag"].alias("diag"), F.slice(words, F.greatest(c["diag"], F.lit(0)) + 1, c["n"]).alias("own")))
 
-        return F.filter(F.transform("found", one), lambda m: m["same"] >= m["len"] * F.lit(near))
+    pieces = texts.select("doc", F.explode(F.transform(F.array(own), cut)[0]).alias("c")).select("doc", "c.*").join(_sent(sequences, F.size("w")), "seq")
+    lead = F.greatest(-F.col("diag"), F.lit(0))
+    span = F.least(F.size("w"), F.lit(size))
+    equal = F.zip_with(F.slice("w", lead + 1, F.size("w")), F.slice("own", F.lit(1), F.size("w") - lead), lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
+    pieces = pieces.filter(F.size("w") - span >= lead).select("doc", "diag", "w", lead.alias("lead"), span.alias("span"), equal.alias("equal"))
 
-    matches = texts.select("doc", F.transform(F.array(own), compare)[0].alias("matches")).dropDuplicates(["doc"])
+    def window(s):
+        same = F.aggregate(F.slice("equal", s - F.col("lead") + 1, F.col("span")), F.lit(0), lambda a, x: a + x)
+        return F.struct((F.col("diag") + s).alias("start"), F.col("span").alias("len"), same.alias("same"), s.alias("s"))
+
+    hits = F.filter(F.transform(F.sequence(F.col("lead"), F.size("w") - F.col("span")), window), lambda m: m["same"] >= m["len"] * F.lit(near))
+    hits = F.transform(hits, lambda m: F.struct(m["start"].alias("start"), m["len"].alias("len"), F.array_join(F.slice("w", m["s"] + 1, m["len"]), " ").alias("phrase"), m["same"].alias("same")))
+    matches = pieces.select("doc", F.explode(hits).alias("m")).groupBy("doc").agg(F.array_sort(F.collect_set("m")).alias("matches"))
     every = postings.filter("term = ''").select("doc", "doc_id", F.col("pos").cast("long").alias("n_words"))
     return every.join(matches, "doc", "left"), windows
 
