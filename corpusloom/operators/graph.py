@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions import text as X
@@ -170,7 +172,6 @@ def pagerank(nodes: DataFrame, edges: DataFrame, iterations: int = 20, damping:
 
 # --- duplicates and components -----------------------------------------------------------------------------------
 
-LETTERS_BY_RARITY = "zqxjkvbpygfwmucldrhsnioate"  # any fixed order keeps the join exact; rare letters first keep it small
 
 
 def digit_signature(name: Column) -> Column:
@@ -189,46 +190,76 @@ def names_similar(a: Column, b: Column) -> Column:
     return (digit_signature(a) == digit_signature(b)) & F.when(english, F.levenshtein(a, b) <= limit).otherwise(loose)
 
 
-def _keys(name: Column, english: Column) -> Column:
-    """Join keys that two similar names must share: pairs of characters from a prefix filter in a fixed order.
-
-    Latin names within edit distance ``⌊min/2⌋`` share at least half of their characters, counted with repeats; other
-    similar names share 80 % of their distinct characters, or two of them when they have fewer than four. The two
-    first common members of sets that share t ≥ 2 are among the first n − t + 2 of a set of size n. Only two names of one or two letters
-    may share a single character, so only these have single keys.
-    """
-    pairs = lambda arr: F.flatten(F.transform(arr, lambda x, i: F.transform(F.slice(arr, i + 2, F.size(arr)), lambda y: F.concat(x, F.lit(" "), y))))
-    chars = F.split(name, "")
-    occurrence = lambda c, i: F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c))
-    rarity = lambda k: F.instr(F.lit(LETTERS_BY_RARITY), F.lower(F.substring(k, 1, 1)))
-    order = lambda arr: F.transform(F.array_sort(F.transform(arr, lambda k: F.struct(rarity(k).alias("r"), k.alias("k")))), lambda s: s["k"])
-    bag = order(F.transform(chars, lambda c, i: F.concat(c, occurrence(c, i).cast("string"))))
-    n = F.size(chars)
-    first = F.slice(bag, F.lit(1), F.floor(n / 2).cast("int") + 2)
-    bag_keys = F.transform(F.when(n < 3, F.concat(bag, pairs(first))).otherwise(pairs(first)), lambda k: F.concat(F.lit("bag "), k))
-    distinct = order(F.array_distinct(chars))
-    m = F.size(F.array_distinct(chars))
-    need = F.when(m >= 4, F.ceil(m * 0.8).cast("int")).otherwise(2)
-    set_keys = F.transform(pairs(F.slice(distinct, F.lit(1), F.greatest(m - need + 2, F.lit(1)))), lambda k: F.concat(F.lit("set "), k))
-    return F.when(english, F.concat(bag_keys, set_keys)).otherwise(set_keys)
+#: Names of a tile; two tiles are compared by one matrix product.
+TILE = 1024
 
 
-def similar_names(nodes: DataFrame, name: str, block: str, new: str | None = None) -> DataFrame:
-    """``(block, a, b)`` with ``a < b``: names of one block that pass :func:`names_similar`, exactly.
+def _survivors(a: list[str], b: list[str], a_latin: np.ndarray, b_latin: np.ndarray) -> np.ndarray:
+    """Which names of two tiles can be similar: Latin pairs by their letters with repeats, others by their distinct characters.
 
-    Repeated names are merged first, so a hot name is one row. The equi-join is on block, digit pieces and a shared
-    prefix key; only candidates are compared. With ``new``, at least one of the two must be new.
+    Names of lengths m <= n within edit distance ``⌊m/2⌋`` share at least ``n - ⌊m/2⌋`` letters.
+    """
+    seen: dict[tuple[str, int], int] = {}
+    marks: list[tuple[np.ndarray, np.ndarray]] = []
+    for names in (a, b):
+        rows, cols = [], []
+        for i, name in enumerate(names):
+            used: dict[str, int] = {}
+            for c in name:
+                used[c] = used.get(c, 0) + 1
+                rows.append(i)
+                cols.append(seen.setdefault((c, used[c]), len(seen)))
+        marks.append((np.array(rows, int), np.array(cols, int)))
+    once = np.array([k[1] == 1 for k in seen], bool)
+    bags = []
+    for names, (rows, cols) in zip((a, b), marks):
+        m = np.zeros((len(names), len(seen)), np.float32)
+        m[rows, cols] = 1
+        bags.append(m)
+    m, n = np.array([len(x) for x in a])[:, None], np.array([len(x) for x in b])[None]
+    bag = bags[0] @ bags[1].T >= np.maximum(m, n) - np.minimum(m, n) // 2
+    sets = [x[:, once] for x in bags]
+    shared, most = sets[0] @ sets[1].T, np.maximum(sets[0].sum(1)[:, None], sets[1].sum(1)[None])
+    loose = np.where(most < 4, shared > 1, shared >= 0.8 * most - 1e-3)
+    return np.where(a_latin[:, None] & b_latin[None], bag, loose)
+
+
+def similar_candidates(nodes: DataFrame, name: str, block: str, new: str | None = None) -> DataFrame:
+    """``(block, a, b)`` with ``a < b``: pairs of names of one block that no bound rules out.
+
+    Repeated names are merged first, so a hot name is one row. The names of a block and digit signature are dealt to tiles
+    of about ``TILE`` names; each pair of tiles is one row, so a hot block spreads over many tasks.
     """
     fresh = F.max(F.col(new)) if new else F.lit(True)
-    names = nodes.groupBy(F.col(block).alias("block"), F.col(name).alias("n")).agg(fresh.alias("fresh"))
-    keyed = names.withColumn("e", X.is_english(F.col("n"))).withColumn("sig", digit_signature(F.col("n")))
-    keyed = keyed.withColumn("key", F.explode(_keys(F.col("n"), F.col("e"))))
-    side = lambda p: keyed.select("block", "sig", "key", F.col("n").alias(p), F.col("fresh").alias(f"{p}_fresh"), F.col("e").alias(f"{p}_e"))
-    pairs = side("a").join(side("b"), ["block", "sig", "key"]).filter((F.col("a") < F.col("b")) & (F.col("a_fresh") | F.col("b_fresh")))
-    # Two Latin names are found through their bags, any other pair through its sets.
-    pairs = pairs.filter(F.startswith("key", F.when(F.col("a_e") & F.col("b_e"), "bag ").otherwise("set ")))
-    pairs = pairs.select("block", "a", "b").distinct()
-    return pairs.filter(names_similar(F.col("a"), F.col("b")))
+    names = nodes.groupBy(F.col(block).alias("block"), F.col(name).alias("n")).agg(fresh.alias("fresh")).filter(F.col("block").isNotNull() & F.col("n").isNotNull())
+    names = cut_lineage(names.withColumn("e", X.is_english(F.col("n"))).withColumn("sig", digit_signature(F.col("n"))))
+    sizes = names.groupBy("block", "sig").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
+    dealt = names.join(sizes, ["block", "sig"]).withColumn("tile", F.pmod(F.xxhash64("n"), F.col("tiles")))
+    tiles = cut_lineage(dealt.groupBy("block", "sig", "tile").agg(F.collect_list(F.struct("n", "fresh", "e")).alias("names")))
+    left, right = tiles.select("block", "sig", F.col("tile").alias("t"), F.col("names").alias("x")), tiles.select("block", "sig", F.col("tile").alias("u"), F.col("names").alias("y"))
+    both = left.join(right, ["block", "sig"]).filter("t <= u").select("block", (F.col("t") == F.col("u")).alias("same"), *[F.col(s)[f].alias(f"{s}_{f}") for s in "xy" for f in ("n", "fresh", "e")])
+    kind = both.schema["block"].dataType.simpleString()
+
+    def compare(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                keep = _survivors(r["x_n"], r["y_n"], np.array(r["x_e"], bool), np.array(r["y_e"], bool))
+                keep &= np.array(r["x_fresh"], bool)[:, None] | np.array(r["y_fresh"], bool)[None]
+                if r["same"]:
+                    keep = np.triu(keep, 1)
+                at = np.argwhere(keep)
+                if len(at):
+                    found = [sorted((r["x_n"][p], r["y_n"][q])) for p, q in at]
+                    yield pa.RecordBatch.from_arrays([pa.array([r["block"]] * len(at), batch.schema.field("block").type), *(pa.array([f[j] for f in found], pa.string()) for j in (0, 1))], names=["block", "a", "b"])
+
+    # A row is two tiles: spread the pairs, and keep few of them in one Arrow batch.
+    return both.repartition(F.xxhash64("block", "x_n", "y_n")).mapInArrow(compare, f"block {kind}, a string, b string")
+
+
+def similar_names(nodes: DataFrame, name: str, block: str, new: str | None = None) -> DataFrame:
+    """``(block, a, b)`` with ``a < b``: names of one block that pass :func:`names_similar`, exactly. With ``new``, at least one of the two must be new."""
+    return similar_candidates(nodes, name, block, new).filter(names_similar(F.col("a"), F.col("b")))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -282,31 +313,59 @@ def largest_component(edges: DataFrame) -> DataFrame:
 # --- communities ---------------------------------------------------------------------------------------------------
 
 
-def modularity_communities(edges: DataFrame, rounds: int = 6, seed: int = 7) -> DataFrame:
-    """``(name, community)`` by local modularity moves.
-
-    Every round each node looks at the communities of its neighbours and takes the best gain; a seeded hash lets only
-    half of the nodes move at a time, which stops neighbours from swapping for ever.
-    """
-    links = cut_lineage(both_ways(edges))
-    strength = cut_lineage(links.groupBy(F.col("src").alias("name")).agg(F.sum("weight").alias("k")))
-    total = strength.agg(F.sum("k")).first()[0] or 1.0
-    labels = strength.select("name", F.col("name").alias("community"), "k")
+def _moved(links: DataFrame, strength: DataFrame, total: float, rounds: int, seed: int) -> DataFrame:
+    """``(name, community, k)`` after rounds of moves, or fewer if a whole pair of rounds moves nothing."""
+    labels, still = strength.select("name", F.col("name").alias("community"), "k"), 0
     for i in range(rounds):
         mass = labels.groupBy("community").agg(F.sum("k").alias("tot"))
         toward = links.join(labels.select(F.col("name").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("name"), "community").agg(F.sum("weight").alias("into"))
         own = labels.select("name", F.col("community").alias("own"), "k")
-        options = toward.join(own, "name").join(mass, "community")
+        # Staying is always a choice, also where no neighbour shares the community.
+        options = toward.unionByName(own.select("name", F.col("own").alias("community"), F.lit(0.0).alias("into"))).groupBy("name", "community").agg(F.sum("into").alias("into"))
+        options = options.join(own, "name").join(mass, "community")
         rest = F.col("tot") - F.when(F.col("community") == F.col("own"), F.col("k")).otherwise(0.0)
         gain = F.round(F.col("into") - rest * F.col("k") / total, 9)
         best = options.groupBy("name").agg(F.max_by("community", F.struct(gain, F.col("community") == F.col("own"), F.col("community"))).alias("__best"))
-        turn = F.pmod(F.xxhash64("name", F.lit(seed + i)), F.lit(2)) == 0
-        labels = cut_lineage(own.join(best, "name", "left").select(
-            "name", F.when(turn, F.coalesce("__best", "own")).otherwise(F.col("own")).alias("community"), "k"))
-    return labels.select("name", "community")
+        turn = F.pmod(F.xxhash64("name", F.lit(seed + i // 2)), F.lit(2)) == i % 2  # each node once in two rounds
+        new = cut_lineage(own.join(best, "name").select("name", "own", F.when(turn, F.col("__best")).otherwise(F.col("own")).alias("community"), "k"))
+        still = still + 1 if new.filter("own <> community").isEmpty() else 0
+        labels = new.select("name", "community", "k")
+        if still == 2:
+            break
+    return labels
 
 
-def hierarchical_communities(edges: DataFrame, max_size: int = 12, levels: int = 3, rounds: int = 6, seed: int = 7) -> DataFrame:
+def modularity_communities(edges: DataFrame, rounds: int = 4, seed: int = 7, gain: float = 1e-3) -> DataFrame:
+    """``(name, community)``: nodes move to the neighbouring community of the best modularity gain, then communities become the nodes
+    of a smaller weighted graph, on which the same is done, until a level gains no more than ``gain``.
+
+    In every round a seeded hash lets one half of the nodes move, which stops neighbours from swapping for ever. The weight inside a
+    community is kept as its node's loop.
+    """
+    flat = edges.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), F.col("weight").cast("double").alias("weight"))
+    graph = cut_lineage(flat.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+    total = 2.0 * (graph.agg(F.sum("weight")).first()[0] or 0.5)
+    members, best, level = None, None, 0
+    while True:
+        links = both_ways(graph.filter("src <> dst"))
+        ends = graph.select(F.col("src").alias("name"), "weight").unionByName(graph.select(F.col("dst").alias("name"), "weight"))
+        strength = cut_lineage(ends.groupBy("name").agg(F.sum("weight").alias("k")))
+        found = _moved(links, strength, total, rounds, seed + 10 * level)
+        to = found.select("name", "community")
+        joined = to if members is None else members.join(to.select(F.col("name").alias("community"), F.col("community").alias("__c")), "community").select("name", F.col("__c").alias("community"))
+        joined = cut_lineage(joined)
+        a, b = to.select(F.col("name").alias("src"), F.col("community").alias("__a")), to.select(F.col("name").alias("dst"), F.col("community").alias("__b"))
+        smaller = graph.join(a, "src").join(b, "dst").groupBy(F.least("__a", "__b").alias("src"), F.greatest("__a", "__b").alias("dst")).agg(F.sum("weight").alias("weight"))
+        smaller = cut_lineage(smaller)
+        inside = smaller.filter("src = dst").agg(F.sum("weight")).first()[0] or 0.0
+        squares = found.groupBy("community").agg(F.sum("k").alias("t")).agg(F.sum(F.col("t") * F.col("t"))).first()[0] or 0.0
+        score = 2 * inside / total - squares / (total * total)
+        if best is not None and score <= best + gain:
+            return members
+        members, best, graph, level = joined, score, smaller, level + 1
+
+
+def hierarchical_communities(edges: DataFrame, max_size: int = 12, levels: int = 2, rounds: int = 4, seed: int = 7) -> DataFrame:
     """``(level, community, name)``: communities, and again inside those larger than ``max_size``."""
     out, inside, prefix = [], edges, None
     for level in range(levels):

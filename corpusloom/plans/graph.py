@@ -266,7 +266,7 @@ def n12(t):
 @query("n13_hierarchical_communities")
 def n13(t):
     """Community sizes and modularity are checked in the tests against label propagation."""
-    return G.hierarchical_communities(edges(t), 12, levels=2, rounds=4)
+    return G.hierarchical_communities(edges(t))
 
 
 COMM_SQL = """cm as (select 0 as level, p_brand as community, 'P' || p_partkey as name from part union all select 1, p_brand || '/' || p_type, 'P' || p_partkey from part
