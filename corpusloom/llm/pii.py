@@ -32,7 +32,7 @@ KINDS = ("email", "ip", "card", "phone")
 
 # The patterns whose leftmost matches are checked, one after the other.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -73,6 +73,12 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _is_octet(digits: str) -> bool:
+    """Whether digits are at most 255; of any length, with any zeros before them."""
+    bare = digits.lstrip("0")
+    return len(bare) <= 3 and int(bare or "0") <= 255
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches of local part, @ and domain: a match begins where the run of local characters before an @ does."""
     at, end = text.find("@"), 0
@@ -92,7 +98,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     out = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text) is None:
         return out
-    out += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(map(_is_octet, m[0].split(".")))]
     for m in CARD.finditer(text):
         found = _digits(m[0])
         if 13 <= len(found) <= 19 and luhn(found):
@@ -111,7 +117,7 @@ def holds(kind: str, found: str) -> bool:
         return 9 <= n <= 15
     if kind == "ip":
         parts = found.split(".")
-        return len(parts) == 4 and all(p.isascii() and p.isdigit() and int(p) <= 255 for p in parts)
+        return len(parts) == 4 and all(p.isascii() and p.isdigit() and _is_octet(p) for p in parts)
     return "@" in found[1:-1] and "." in found.rpartition("@")[2]
 
 

@@ -313,3 +313,17 @@ def test_proximity_matches_are_all_found(spark):
     found, _ = decontamination.find_matches(frame, bench)
     got = {(r["doc_id"], m["start"], m["phrase"], m["same"]) for r in found.collect() for m in r["matches"] or []}
     assert got == want and sum(same < len(p.split()) for _, _, p, same in want) >= 20
+
+
+def test_addresses_of_any_length():
+    """No integer is made of unbounded digits, and a megabyte of digits is read once."""
+    import time
+
+    from corpusloom.llm import pii
+
+    assert pii.base_spans("1.1.1." + "0" * 5000) == [("ip", 0, 5006)] and pii.holds("ip", "1.1.1." + "0" * 5000)
+    assert pii.base_spans("1.1.1." + "9" * 5000) == [] and not pii.holds("ip", "1.1.1." + "9" * 5000)
+    begin = time.time()
+    for text in ("7" * 1_000_000, "0" * 1_000_000, "." * 1_000_000):
+        assert [s for s in pii.base_spans(text) if s[0] == "ip"] == []
+    assert time.time() - begin < 10
