@@ -103,11 +103,11 @@ def build_index(items: DataFrame, item: str = "item_id", vector: str = "vector",
 def search_index(queries: DataFrame, index: VectorIndex, k: int, probes: int | None = None, refine: int = 4, query: str = "query_id", vector: str = "vector", digits: int = 6) -> DataFrame:
     """``(query, item, similarity, rank)``: the best ``k`` of the ``probes`` cells nearest to each query (a third of all cells if not given).
 
-    Candidates are ranked by their codes, then by exact cosine; ties go to the smaller id. Null query vectors find nothing.
+    Candidates are ranked by their codes, then by exact cosine; ties go to the smaller id. Null query vectors find nothing, and an empty index has nothing.
     """
     spark = queries.sparkSession
     if not index.path:
-        raise ValueError("the index is empty")
+        return queries.select(query, F.lit(None).cast("long").alias(index.item), F.lit(0.0).alias("similarity"), F.lit(0).alias("rank")).limit(0)
     centres, books, item = index.centres, index.books, index.item
     probes = min(probes or -(-len(centres) // 3), len(centres))
     asked = queries.select(query, vector).filter(F.col(vector).isNotNull())
