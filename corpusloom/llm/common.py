@@ -136,12 +136,12 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Iterator
 # --- rows that share a key --------------------------------------------------------------------------------------
 
 
-def shared_runs(df: DataFrame, key: str, item: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def shared_runs(df: DataFrame, key: str, item: str, extra: tuple[str, ...] = (), own: bool = False) -> DataFrame:
     """Rows whose ``key`` more than one ``item`` has, each with the run's first row and the row before it.
 
     One shuffle on the key; each task then streams its sorted rows and keeps two rows of state, so a key of any
     number of rows needs no memory. Adds ``head_*`` and ``prev_*`` for the item and the extra columns; the run's first row is not
-    returned by itself.
+    returned by itself, nor are other rows of its item unless ``own``.
     """
     cols = [key, item, *extra]
     kinds = dict(df.dtypes)
@@ -159,7 +159,7 @@ def shared_runs(df: DataFrame, key: str, item: str, extra: tuple[str, ...] = ())
             k, it = table[0], table[1]
             fresh = np.concatenate([[True], k[1:] != k[:-1]])
             head = np.maximum.accumulate(np.where(fresh, np.arange(len(k)), 0))
-            keep = np.flatnonzero(it != it[head])
+            keep = np.flatnonzero(~fresh if own else it != it[head])
             if held is not None:
                 keep = keep[keep >= 2]
             if len(keep):

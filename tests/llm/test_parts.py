@@ -288,6 +288,26 @@ def test_passages_with_words_inserted_or_deleted(spark, kind):
     assert len(planted) >= 40 and sum(got.get(p, 0) >= 0.8 * n for p, n in planted.items()) >= 0.9 * len(planted)
 
 
+def test_passages_of_texts_with_a_common_shorter_run(spark):
+    """Of 200 texts that hold the same 46 words, 60 pairs share six more: each such pair is connected by passages."""
+    rng = np.random.default_rng(13)
+    text = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    common = text(46)
+    rows = []
+    for _ in range(60):
+        before, after = text(3), text(3)
+        rows += [text(int(rng.integers(20, 200))) + before + common + after + text(40) for _ in range(2)]
+    rows += [text(100) + common + text(40) for _ in range(80)]
+    # The name's first text also has it a second time, and there it shares 50 words with another text.
+    end = text(4)
+    rows += [common + text(60) + common + end + text(30), text(60) + common + end + text(30)]
+    got = passages.repeated_passages(spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")).collect()
+    linked = {frozenset((r["doc_id"], r["other_id"])) for r in got}
+    pairs = {frozenset((2 * k, 2 * k + 1)) for k in range(60)} | {frozenset((200, 201))}
+    assert pairs <= linked
+    assert all(r["kind"] == "passage" and r["n_words"] >= 50 for r in got)
+
+
 def test_proximity_matches_are_all_found(spark):
     """Matches against every place of every window: edits of rare words, words that no document has, short items."""
     rng = np.random.default_rng(12)
