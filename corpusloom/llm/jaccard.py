@@ -9,8 +9,11 @@ shingles they are. Signatures of empty content are left out where enough others
 (``k // (k2 + 1) + 1`` parts with more than ``k2`` cells in use); a set with fewer sends the empty ones too.
 
 Equal sets are one node. Nodes that share a signature form clusters; in a cluster, ordered by size, bounded blocks of nodes
-are compared with the blocks that their sizes allow, by counting common shingles in numpy, so a cluster of any size is many
-bounded groups and every candidate pair is verified exactly. A group sends back links that connect it, not all its pairs.
+are compared with the blocks that their sizes allow, so a cluster of any size is many bounded groups. Blocks are compared twice.
+First by sketches: the parity of a set's shingles in two to four bits for each of them. Two sets differ in at least as many
+shingles as their sketches differ in bits, so pairs whose sketches differ too much cannot be similar and no similar pair is
+lost; what is left forms finer clusters. Then, in these, the shingles themselves are sent and common ones counted, so every
+pair that may be similar is verified exactly. A group sends back links that connect it, not all its pairs.
 
 Defined cases: a text with fewer words than a shingle is one shingle; without words the set is empty and linked with nothing; null is an
 empty text; repeated rows are equal sets; extra columns are not read; an empty table gives an empty result.
@@ -25,13 +28,16 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.llm.common import components, hash_shingles, hash_words, mix, shared_runs, slices, stored
 from corpusloom.operators.running import running_sum
 
 BLOCK = 1 << 20  # shingles that a block of sets holds
 BLOCK_SETS = 1024
+SKETCH_BLOCK = 1 << 22  # bits of sketches that a block holds, one sketch at least
+SKETCH_SETS = 4096
+STRIP = 1024  # sketches of a block that are compared at once with another block's
 #: Tables of at most so many rows (three numbers each) are sent to every task; larger ones are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -90,6 +96,65 @@ def _node(items: np.ndarray) -> int:
     return int(mix(mix(items).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(items))).view(np.int64)[0]) if len(items) else 0
 
 
+def sketch_width(size: int) -> int:
+    """The bits of the sketch of a set of ``size`` shingles: a power of two, two to four for each."""
+    return max(64, 1 << (2 * size - 1).bit_length())
+
+
+def sketch(items: np.ndarray) -> bytes:
+    """Whether an odd number of a set's shingles falls on each of ``sketch_width`` places, as packed bits."""
+    width = sketch_width(len(items))
+    odd = np.bincount((mix(items) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Sketches as they would be with fewer bits."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, width), axis=1)
+
+
+def may_be_similar(left: list[bytes], n_left: np.ndarray, right: list[bytes], n_right: np.ndarray, similarity: Fraction) -> np.ndarray:
+    """For each pair of sketches and set sizes whether the sets can have ``similarity``; false only where they cannot."""
+    p, q = similarity.numerator, similarity.denominator
+    out = np.zeros((len(left), len(right)), bool)
+    widths = [np.array([8 * len(s) for s in side]) for side in (left, right)]
+    for wl in np.unique(widths[0]):
+        i = np.flatnonzero(widths[0] == wl)
+        a = np.unpackbits(np.frombuffer(b"".join(left[k] for k in i), np.uint8).reshape(len(i), -1), axis=1)
+        for wr in np.unique(widths[1]):
+            j = np.flatnonzero(widths[1] == wr)
+            # The differing shingles allowed, and with the sizes alone those that there are at least.
+            total = n_left[i][:, None] + n_right[j][None, :]
+            close = np.abs(n_left[i][:, None] - n_right[j][None, :]) * (p + q) <= (q - p) * total
+            if not close.any():
+                continue
+            b = np.unpackbits(np.frombuffer(b"".join(right[k] for k in j), np.uint8).reshape(len(j), -1), axis=1)
+            width = int(min(wl, wr))
+            x, y = folded(a, width), folded(b, width)
+            both = np.zeros((len(i), len(j)), np.int64)
+            for c in range(0, width, 4096):
+                both += (x[:, c : c + 4096].astype(np.float32) @ y[:, c : c + 4096].astype(np.float32).T).astype(np.int64)
+            differ = x.sum(1, dtype=np.int64)[:, None] + y.sum(1, dtype=np.int64)[None, :] - 2 * both
+            out[np.ix_(i, j)] = close & (differ * (p + q) <= (q - p) * total)
+    return out
+
+
+def joined(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs of a first node with each other one of its part of the graph whose edges ``hit`` marks."""
+    waiting = hit.any(1)
+    while waiting.any():
+        rows = np.zeros(len(left), bool)
+        rows[np.argmax(waiting)] = True
+        fresh = rows.copy()
+        while fresh.any():
+            cols = hit[fresh].any(0)
+            fresh = hit[:, cols].any(1) & ~rows
+            rows |= fresh
+        waiting &= ~rows
+        nodes = np.union1d(left[rows], right[hit[rows].any(0)])
+        yield from ((int(nodes[0]), int(n)) for n in nodes[1:])
+
+
 def common_counts(sets: list[np.ndarray], split: int) -> np.ndarray:
     """How many items each of the first ``split`` sets has in common with each of the others (each with each, if ``split`` is 0).
 
@@ -152,9 +217,7 @@ def similar_sets(docs: DataFrame, doc_id: str, text: str, size: int, similarity:
 
     The links connect the sets exactly as all pairs of ``similarity`` would. ``row`` is a hash of id and text.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("row"))
-    parts = spark.conf.get("spark.sql.shuffle.partitions")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schemes, sent = Schemes(similarity), set()
@@ -181,14 +244,34 @@ def similar_sets(docs: DataFrame, doc_id: str, text: str, size: int, similarity:
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 sets = _sets(texts, size)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], names=["doc_id", "row", "node", "n_shingles"])
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), part.column("row"), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())],
+                    names=["doc_id", "row", "node", "n_shingles", "sketch"])
 
-    documents = stored(rows.mapInArrow(plain, "doc_id long, row long, node long, n_shingles long"), "shingle-sets")
-    # One row for each node of a cluster; its text is read again for the set.
+    sketched = stored(rows.mapInArrow(plain, "doc_id long, row long, node long, n_shingles long, sketch binary"), "shingle-sets")
+    documents = sketched.drop("sketch")
     chosen = documents.groupBy("node").agg(F.min("row").alias("row"), F.max("n_shingles").alias("n")).join(clusters, "node")
     chosen = stored(chosen.select("row", "node", "n", "cluster"), "clustered")
-    blocked = _blocks(chosen)
     few = chosen.count() <= BROADCAST_ROWS
+    blocked = _blocks(chosen, 4 * F.col("n"), SKETCH_BLOCK, SKETCH_SETS)
+    sketches = sketched.select("row", "sketch").join(F.broadcast(blocked) if few else blocked, "row").select("node", "cluster", "block", "n", "sketch")
+
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for nodes, split, (sizes, bits) in _meetings(batches, ("n", "sketch")):
+            ids, n = np.array(nodes, np.int64), np.array(sizes, np.int64)
+            cut = split or 0
+            right = slice(cut, None)
+            for a in range(0, split or len(nodes), STRIP):
+                strip = slice(a, min(a + STRIP, split or len(nodes)))
+                found = list(joined(may_be_similar(bits[strip], n[strip], bits[right], n[right], similarity), ids[strip], ids[right]))
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    near = stored(_dealt(sketches, blocked, similarity, few, ("n", "sketch")).mapInArrow(screen, "a long, b long").distinct(), "sketch-links")
+    # One row for each node of a finer cluster; its text is read again for the set.
+    finer = components(near).withColumnRenamed("component", "cluster")
+    chosen = stored(chosen.drop("cluster").join(finer, "node").select("row", "node", "n", "cluster"), "near")
+    few = chosen.count() <= BROADCAST_ROWS
+    blocked = _blocks(chosen, F.col("n"), BLOCK, BLOCK_SETS)
     texts = rows.select("row", "text").join(F.broadcast(blocked) if few else blocked, "row").select("node", "cluster", "block", "n", "text")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +283,17 @@ def similar_sets(docs: DataFrame, doc_id: str, text: str, size: int, similarity:
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in ("node", "cluster", "block")] + [items], names=["node", "cluster", "block", "items"])
 
     members = texts.mapInArrow(fill, "node long, cluster long, block long, items array<long>")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for nodes, split, (items,) in _meetings(batches, ("items",)):
+            found = _links(nodes, items, split, similarity) if len(nodes) > 1 else []
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return documents, stored(_dealt(members, blocked, similarity, few, ("items",)).mapInArrow(compare, "a long, b long"), "links")
+
+
+def _dealt(members: DataFrame, blocked: DataFrame, similarity: Fraction, few: bool, columns: tuple[str, ...]) -> DataFrame:
+    """The blocks of each cluster sent to the meetings ``(cluster, i, j)`` of two blocks, or of a block with itself, that sizes allow."""
     spans = blocked.groupBy("cluster", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     l, r = spans.alias("l"), spans.alias("r")
     # Blocks of a cluster are in order of size; two meet if a set of the larger ones can be similar to one of the smaller ones.
@@ -208,45 +302,44 @@ def similar_sets(docs: DataFrame, doc_id: str, text: str, size: int, similarity:
     goes = meet.select("cluster", F.col("i").alias("block"), "i", "j", F.lit(0).alias("side")).unionByName(
         meet.filter("i < j").select("cluster", F.col("j").alias("block"), "i", "j", F.lit(1).alias("side")))
     dealt = members.join(F.broadcast(goes) if few else goes, ["cluster", "block"])
-    dealt = dealt.select("cluster", "i", "j", "side", "node", "items").repartition(int(parts), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "side", "node")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, nodes, sets, sides = None, [], [], []
-
-        def flush() -> pa.RecordBatch:
-            found = _links(nodes, sets, sides.count(0) if 1 in sides else 0, similarity) if len(nodes) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-        for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("cluster", "i", "j"))))
-            ids, which, items = batch.column("node").to_pylist(), batch.column("side").to_pylist(), batch.column("items")
-            for at, key in enumerate(keys):
-                if key != now:
-                    if now is not None:
-                        yield flush()
-                    now, nodes, sets, sides = key, [], [], []
-                if nodes and nodes[-1] == ids[at]:
-                    continue  # a repeated row
-                nodes.append(ids[at])
-                sides.append(which[at])
-                sets.append(items[at].values.to_numpy(zero_copy_only=False).view(np.uint64))
-        if now is not None:
-            yield flush()
-
-    return documents, stored(dealt.mapInArrow(compare, "a long, b long"), "links")
-
-
-def _blocks(chosen: DataFrame) -> DataFrame:
-    """``chosen`` with the ``block`` of each node in its cluster, in order of size: at most ``BLOCK`` shingles or one set, and ``BLOCK_SETS`` sets."""
-    room = F.greatest(F.col("n"), F.lit(max(1, BLOCK // BLOCK_SETS)))
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.select("cluster", "i", "j", "side", "node", *columns).repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "side", "node")
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[list[int], int, list[list]]]:
+    """``(nodes, split, values of each column)`` of each meeting; ``split`` nodes are of the first block, 0 if it meets itself."""
+    now, nodes, sides, values = None, [], [], [[] for _ in columns]
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("cluster", "i", "j"))))
+        ids, which = batch.column("node").to_pylist(), batch.column("side").to_pylist()
+        held = [batch.column(c) for c in columns]
+        for at, key in enumerate(keys):
+            if key != now:
+                if now is not None:
+                    yield nodes, sides.count(0) if 1 in sides else 0, values
+                now, nodes, sides, values = key, [], [], [[] for _ in columns]
+            if nodes and nodes[-1] == ids[at]:
+                continue  # a repeated row
+            nodes.append(ids[at])
+            sides.append(which[at])
+            for into, column in zip(values, held):
+                item = column[at]
+                into.append(item.values.to_numpy(zero_copy_only=False).view(np.uint64) if isinstance(item, pa.ListScalar) else item.as_py())
+    if now is not None:
+        yield nodes, sides.count(0) if 1 in sides else 0, values
+
+
+def _blocks(chosen: DataFrame, weight: Column, block: int, sets: int) -> DataFrame:
+    """``chosen`` with the ``block`` of each node in its cluster, in order of size: at most ``block`` of ``weight`` or one set, and ``sets`` sets."""
+    room = F.greatest(weight, F.lit(max(1, block // sets)))
     sizes = chosen.groupBy("cluster").agg(F.sum(room).alias("m"))
-    large = stored(sizes.filter(F.col("m") > BLOCK).select(F.col("cluster").alias("big")), "large-clusters")
+    large = stored(sizes.filter(F.col("m") > block).select(F.col("cluster").alias("big")), "large-clusters")
     rows = chosen.join(large, chosen["cluster"] == large["big"], "left")
     small = rows.filter("big is null").drop("big").withColumn("block", F.lit(0).cast("long"))
     if large.isEmpty():
         return stored(small, "blocks")
     summed = running_sum(rows.filter("big is not null").drop("big"), "cluster", ["n", "node"], room, "upto")
-    return stored(small.unionByName(summed.withColumn("block", F.floor((F.col("upto") - room) / BLOCK).cast("long")).drop("upto")), "blocks")
+    return stored(small.unionByName(summed.withColumn("block", F.floor((F.col("upto") - room) / block).cast("long")).drop("upto")), "blocks")
 
 
 def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:

@@ -123,10 +123,46 @@ def test_common_counts():
     assert (jaccard.common_counts(sets, 0) == want)[off].all() and (jaccard.common_counts(sets, 12) == want[:12, 12:]).all()
 
 
+@pytest.mark.parametrize("similarity", [Fraction(9, 10), Fraction(4, 5), Fraction(1, 2)])
+def test_sketches_lose_no_similar_pair(similarity):
+    rng = np.random.default_rng(6)
+    sets = []
+    for size in [1, 2, 7, 31, 32, 33, 60, 64, 65, 250, 900, 3000]:
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        for share in (0, 0.05, 0.1, 0.2, 0.3, 0.6):
+            cut = int(share * size)
+            sets += [np.unique(np.concatenate([a[cut:], rng.integers(0, 1 << 63, cut, dtype=np.uint64)])), a[cut:]]
+    n = np.array([len(s) for s in sets])
+    both = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    similar = both >= similarity * (n[:, None] + n[None, :] - both)
+    bits = [jaccard.sketch(s) for s in sets]
+    may = jaccard.may_be_similar(bits, n, bits[5:], n[5:], similarity)
+    assert may[similar[:, 5:]].all()
+    far = both[:, 5:] < float(similarity) * 0.8 * (n[:, None] + n[None, 5:] - both[:, 5:])
+    # The lower the similarity, the more bits may differ, and the less a sketch tells.
+    assert may[far & (n[:, None] > 50)].mean() < (0.02 if similarity >= Fraction(4, 5) else 0.05)
+
+
+def test_parts_of_marked_pairs_are_joined():
+    rng = np.random.default_rng(7)
+    for _ in range(30):
+        n = int(rng.integers(1, 40))
+        hit = rng.random((n, n)) < 0.03
+        hit |= hit.T | np.eye(n, dtype=bool)
+        part = np.arange(n)
+        for _ in range(n):
+            part = np.array([part[hit[i]].min() for i in range(n)])
+        ids = np.arange(n)
+        least = {int(i): int(i) for i in ids} | {b: a for a, b in jaccard.joined(hit, ids, ids)}
+        assert least == dict(enumerate(part.tolist()))
+
+
 def test_large_clusters_are_compared_in_blocks(spark, monkeypatch, tmp_path):
     from tests.llm import brute
 
     monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "SKETCH_BLOCK", 2048)
+    monkeypatch.setattr(jaccard, "STRIP", 3)
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(120)]
     rows = []
