@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.operators import layout as L
+from corpusloom.session import cut_lineage
 
 NO_INTS = "array<int>"
 NO_TEXTS = "array<string>"
@@ -688,12 +690,27 @@ def split_json(df: DataFrame, doc: str, leaves: str, budget: int = 2000, floor:
     return explode_chunks(group_slices(base, ids, leaves, make, "__t"), doc, "__t", keep)
 
 
-def json_leaves(document: Column, depth: int = 4) -> Column:
-    """``struct(path, json)`` of the leaves of a VARIANT, objects and lists opened ``depth`` levels deep."""
-    level = F.array(F.struct(F.lit("").alias("path"), document.alias("v")))
-    for _ in range(depth):
-        level = F.flatten(F.transform(level, _open))
-    return F.transform(level, lambda s: F.struct(s["path"].alias("path"), F.to_json(s["v"]).alias("json")))
+def json_leaves(df: DataFrame, doc: str, document: str, keep=(), step: int = 4) -> DataFrame:
+    """``(doc, leaves)``: ``struct(path, json)`` of all leaves of a VARIANT column, in order, however deep objects and lists are nested.
+
+    Documents that still hold an object or a list after ``step`` levels are the frontier of the next round, whose rows are
+    written first; a round has no shuffle, and a table whose documents are shallow ends after one. Empty objects and
+    lists have no leaves; a null document has null ``leaves``.
+    """
+    first = F.when(F.col(document).isNotNull(), F.array(F.struct(F.lit("").alias("path"), F.col(document).alias("v"))))
+    frontier, done = df.select(doc, *keep, first.alias("leaves")), []
+    while True:
+        level = F.col("leaves")
+        for _ in range(step):
+            level = F.flatten(F.transform(level, _open))
+        opened = cut_lineage(frontier.withColumn("leaves", level))
+        nested = F.coalesce(F.exists("leaves", lambda s: F.schema_of_variant(s["v"]).rlike("^(OBJECT|ARRAY)<")), F.lit(False))
+        done.append(opened.filter(~nested))
+        frontier = opened.filter(nested)
+        if frontier.isEmpty():
+            break
+    rows = reduce(lambda x, y: x.unionByName(y), done)
+    return rows.withColumn("leaves", F.transform("leaves", lambda s: F.struct(s["path"].alias("path"), F.to_json(s["v"]).alias("json"))))
 
 
 def _open(s: Column) -> Column:

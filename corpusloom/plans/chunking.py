@@ -399,16 +399,19 @@ def k26(t):
     return hashed(C.batch_chunks(t.documents.withColumn("l", F.split("text", "\n")), "doc_id", "l", 300))
 
 
-@query("k27_json_split", f"""with recursive lf as (select doc_id, ['lang', 'meta.n', 'meta.source'] || list_transform(range(0, len(ls)), lambda i: 'lines.' || i) as paths,
+@query("k27_json_split", f"""with recursive lf as (select doc_id, ['lang', 'meta.a.b.c.d.n', 'meta.a.b.c.d.source'] || list_transform(range(0, len(ls)), lambda i: 'lines.' || i) as paths,
    [to_json(lang)::varchar, cast(n_chars as varchar), to_json(source)::varchar] || list_transform(ls, lambda l: cast(length(l) as varchar)) as vals
    from (select *, {LINE_LIST} as ls from documents)),
  u as (select doc_id, unnest(paths) as p, unnest(vals) as v, generate_subscripts(paths, 1) - 1 as i from lf),
  src as (select doc_id, row_number() over (partition by doc_id order by split_part(p, '.', 1), case when p like 'lines.%' then cast(split_part(p, '.', 2) as int) end, p) - 1 as pos, '"' || p || '": ' || v as s, length(p) + length(v) + 6 as n from u),
  {fold_sql('src', 'f.acc + x.n >= 120 and f.acc >= 50', opened='x.n + 2')}, {out_sql("'{' || string_agg(s, ', ' order by pos) || '}'")}""")
 def k27(t):
+    meta = F.struct(F.col("n_chars").alias("n"), F.col("source"))
+    for name in "dcba":
+        meta = F.struct(meta.alias(name))
     body = F.to_json(F.struct(
-        F.col("lang"), F.transform(F.split("text", "\n"), F.length).alias("lines"), F.struct(F.col("n_chars").alias("n"), F.col("source")).alias("meta")))
-    leaves = t.documents.select("doc_id", F.parse_json(body).alias("v")).select("doc_id", C.json_leaves(F.col("v")).alias("leaves"))
+        F.col("lang"), F.transform(F.split("text", "\n"), F.length).alias("lines"), meta.alias("meta")))
+    leaves = C.json_leaves(t.documents.select("doc_id", F.parse_json(body).alias("v")), "doc_id", "v")
     return hashed(C.split_json(leaves, "doc_id", "leaves", 120, 50))
 
 

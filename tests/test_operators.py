@@ -1,6 +1,7 @@
 """Brute-force and property checks, including groups that hold a large share of all rows."""
 
 import itertools
+import json
 import random
 
 import numpy as np
@@ -285,3 +286,28 @@ def entry_merge(entries):
     from corpusloom.operators.aggregates import merge_metadata
 
     return merge_metadata(entries)
+
+
+def test_json_is_opened_to_any_depth(spark):
+    def leaves(v, path=""):
+        if isinstance(v, dict):
+            return [x for k in sorted(v) for x in leaves(v[k], f"{path}.{k}" if path else k)]
+        if isinstance(v, list):
+            return [x for i, w in enumerate(v) for x in leaves(w, f"{path}.{i}" if path else str(i))]
+        return [(path, json.dumps(v))]
+
+    def nested(depth, v):
+        for i in range(depth):
+            v = {"k": v, "n": i} if i % 3 else [v, "x"]
+        return v
+
+    bodies = [nested(d, {"a": 1, "b": [True, "q"]}) for d in (0, 1, 3, 4, 5, 10, 25)] + [{}, [], {"a": {}, "b": [[]]}, 7]
+    rows = [(i, json.dumps(b)) for i, b in enumerate(bodies)] + [(99, None)]
+    docs = spark.createDataFrame(rows, "id long, body string").select("id", F.parse_json("body").alias("v"))
+    got = {r.id: r.leaves and [tuple(x) for x in r.leaves] for r in C.json_leaves(docs, "id", "v").collect()}
+    assert got.pop(99) is None
+    assert {k: v or [] for k, v in got.items()} == {i: leaves(b) for i, b in enumerate(bodies)}
+    assert C.json_leaves(docs.filter("id < 0"), "id", "v").count() == 0
+    chunks = C.split_json(C.json_leaves(docs.filter("id = 6"), "id", "v"), "id", "leaves", 120, 50).collect()
+    parts = [x for c in sorted(chunks, key=lambda c: c.pos) for x in json.loads(c.text).items()]
+    assert [(k, json.dumps(v)) for k, v in parts] == leaves(bodies[6])
