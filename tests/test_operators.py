@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from corpusloom.functions import vectors as VEC
 from corpusloom.operators import chunking as C, graph as G, layout as L, ranking as K, retrieval as V, running as RUN, sqlapi as Q, tree as H, vector_search as S
 from corpusloom.registry import Tables
+from corpusloom.session import settle
 from corpusloom.streaming import incremental as I
 
 
@@ -72,6 +73,15 @@ def test_hierarchy_covers_every_node_once_per_level(spark, data):
     assert len(top) == len(set(top)) > 0
 
 
+def test_settled_rows_forget_the_estimates_of_their_plan(spark, capsys):
+    rows = spark.range(10)
+    for _ in range(5):  # a checkpoint would multiply the estimate by itself in every round
+        rows = settle(rows.join(rows.withColumnRenamed("id", "a"), F.col("id") == F.col("a")).join(rows.withColumnRenamed("id", "b"), F.col("id") == F.col("b")).select("id"))
+    rows.explain(mode="cost")
+    size = capsys.readouterr().out.split("sizeInBytes=")[1].split(")")[0]
+    assert rows.count() == 10 and size.endswith((" B", "KiB"))
+
+
 def test_random_walks_repeat(spark):
     edges = spark.createDataFrame([("a", "b", 1.0), ("b", "c", 2.0), ("a", "c", 1.0)], "src string, dst string, weight double")
     first = sorted(map(str, G.random_walks(edges, 2, 4).collect()))
