@@ -6,6 +6,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,11 +17,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom.functions import vectors as VEC
 from corpusloom.operators import enrich
 from corpusloom.operators.running import row_numbers
-from corpusloom.session import cut_lineage
+from corpusloom.session import cut_lineage, settle
 
 EXACT_LEAVES = 4096
 BUCKET = 1024
 MAX_FANOUT = 32
+GROUP = 8192  # rows that one task may split
 
 
 def mean_vectors(df: DataFrame, by: list[str], vector: str = "vector", name: str = "vector") -> DataFrame:
@@ -126,38 +129,118 @@ def ranked_pairs(df: DataFrame, bucket: str, key: str, vector: str) -> DataFrame
     return row_numbers(scored, bucket, [F.col("similarity").desc(), F.col("a"), F.col("b")], "rank")
 
 
-def bounded_buckets(df: DataFrame, key: str, vector: str, size: int = BUCKET, rounds: int = 5) -> DataFrame:
+def _label(vectors: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Center of the greatest product for each row, the lower one on ties; summed dimension by dimension, so equal rows tie exactly."""
+    score = np.zeros((len(vectors), len(centers)))
+    for d in range(centers.shape[1]):
+        score += np.multiply.outer(vectors[:, d], centers[:, d])
+    return score.argmax(axis=1)
+
+
+def _moved_center(mean: np.ndarray) -> np.ndarray:
+    length = np.sqrt(np.dot(mean, mean))
+    return mean / length if length > 0 else mean
+
+
+def _seed_rows(n: int, size: int) -> np.ndarray:
+    """Evenly spaced rows, counted from 0, that seed the centers of a group of ``n``."""
+    fan = min(max(2, -(-n // size)), n, MAX_FANOUT)
+    return np.array([int(np.floor(k * ((n - 1) / (fan - 1)))) if fan > 1 else 0 for k in range(fan)])
+
+
+def _split_group(vectors: np.ndarray, name: str, size: int, rounds: int) -> np.ndarray:
+    """Bucket name of every row of one group whose rows are in key order."""
+    names = np.full(len(vectors), name, dtype=object)
+    todo = [np.arange(len(vectors))]
+    while todo:
+        rows = todo.pop()
+        n = len(rows)
+        if n <= size:
+            continue
+        here, above = vectors[rows], names[rows[0]]
+        centers = here[_seed_rows(n, size)].copy()
+        for _ in range(rounds):
+            label = _label(here, centers)
+            for k in np.unique(label):
+                centers[k] = _moved_center(here[label == k].mean(axis=0))
+        label = _label(here, centers)
+        part = np.arange(n) // size if (label == label[0]).all() else label
+        for k in np.unique(part):
+            names[rows[part == k]] = f"{above}.{k}"
+            todo.append(rows[part == k])
+    return names
+
+
+def bounded_buckets(df: DataFrame, key: str, vector: str, size: int = BUCKET, rounds: int = 5, group: int = GROUP) -> DataFrame:
     """``(key, vector, bucket)`` with at most ``size`` rows per bucket.
 
     Groups over the bound are split by spherical k-means with at most 32 centers, seeded at evenly spaced rows in key
-    order, until all fit; a group that does not split is cut into slices. All oversized groups of a round are handled
-    by the same joins, and a row only ever meets the centers of its own group.
+    order, until all fit; a group that does not split is cut into slices. Groups of more than ``group`` rows are split
+    together, a level at a time: their centers (one for each ``group / 32`` rows at most) are sent to the tasks, which label Arrow
+    batches and return sums. A group of at most ``group`` rows is split to its end in one task.
     """
-    rows = cut_lineage(df.select(key, VEC.unit(F.col(vector)).alias("vector"), F.lit("0").alias("bucket")))
-    done = []
+    rows = settle(df.select(key, VEC.unit(F.col(vector)).alias("vector"), F.lit("0").alias("bucket")))
+    group, small = max(group, size), []
     while True:
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("__n"))
-        sized = rows.join(sizes, "bucket")
-        done.append(sized.filter(F.col("__n") <= size).select(key, "vector", "bucket"))
-        big = cut_lineage(row_numbers(sized.filter(F.col("__n") > size), "bucket", [key], "__pos"))
-        if big.isEmpty():
+        counts = rows.groupBy("bucket").agg(F.count("*").alias("__n"))
+        big = {r["bucket"]: r["__n"] for r in counts.filter(F.col("__n") > group).toLocalIterator()}
+        if not big:
+            small.append(rows)
             break
-        fan = F.least(F.greatest(F.lit(2), F.ceil(F.col("__n") / size)), F.col("__n"), F.lit(MAX_FANOUT)).cast("int")
-        big = big.withColumn("__fan", fan)
-        seeds = big.select("bucket", "__pos", "vector", "__n", "__fan", F.explode(F.sequence(F.lit(0), F.col("__fan") - 1)).alias("label")).filter(
-            F.col("__pos") - 1 == F.floor(F.col("label") * ((F.col("__n") - 1) / (F.col("__fan") - 1))))
-        centers = cut_lineage(seeds.select("bucket", "label", "vector"))
+        sized = rows.join(counts, "bucket")
+        small.append(sized.filter(F.col("__n") <= group).select(key, "vector", "bucket"))
+        placed = settle(row_numbers(sized.filter(F.col("__n") > group), "bucket", [key], "__pos"))
+        seeds = rows.sparkSession.createDataFrame(
+            [(b, int(p) + 1, k) for b, n in big.items() for k, p in enumerate(_seed_rows(n, size))], "bucket string, __pos long, label int")
+        centers: dict[str, np.ndarray] = {}
+        for r in placed.select("bucket", "__pos", "vector").join(seeds, ["bucket", "__pos"]).sort("bucket", "label").toLocalIterator():
+            centers.setdefault(r["bucket"], []).append(r["vector"])
+        centers = {b: np.array(v, dtype=np.float64) for b, v in centers.items()}
         for _ in range(rounds):
-            labelled = big.join(_centers(centers, ["bucket"], "label"), "bucket").select(
-                "bucket", "vector", _nearest(F.col("vector"), F.col("__centers"), VEC.dot).alias("label"))
-            means = mean_vectors(labelled, ["bucket", "label"])
-            moved = means.select("bucket", "label", F.when(VEC.norm(F.col("vector")) > 0, VEC.unit(F.col("vector"))).otherwise(F.col("vector")).alias("__new"))
-            centers = cut_lineage(centers.join(moved, ["bucket", "label"], "left").select("bucket", "label", F.coalesce("__new", "vector").alias("vector")))
-        split = big.join(_centers(centers, ["bucket"], "label"), "bucket").withColumn("label", _nearest(F.col("vector"), F.col("__centers"), VEC.dot))
+            sums = _labelled(placed, key, centers, True).groupBy("bucket", "label").agg(
+                Summarizer.sum(array_to_vector("vector")).alias("s"), F.sum("__pos").alias("n"))
+            for r in sums.toLocalIterator():
+                centers[r["bucket"]][r["label"]] = _moved_center(r["s"].toArray() / r["n"])
+        split = settle(_labelled(placed, key, centers, False))
         kinds = split.groupBy("bucket").agg((F.min("label") == F.max("label")).alias("__stuck"))
         part = F.when(F.col("__stuck"), F.floor((F.col("__pos") - 1) / size)).otherwise(F.col("label"))
-        rows = cut_lineage(split.join(kinds, "bucket").select(key, "vector", F.concat_ws(".", "bucket", part.cast("string")).alias("bucket")))
-    return reduce(lambda a, b: a.unionByName(b), done)
+        rows = settle(split.join(kinds, "bucket").select(key, "vector", F.concat_ws(".", "bucket", part.cast("string")).alias("bucket")))
+
+    def finish(table: pa.Table) -> pa.Table:
+        table = table.take(pc.sort_indices(table, sort_keys=[(key, "ascending")], null_placement="at_start"))
+        vectors = np.stack(table.column("vector").to_numpy(zero_copy_only=False)) if table.num_rows > size else np.zeros((table.num_rows, 0))
+        names = _split_group(vectors, table.column("bucket")[0].as_py(), size, rounds)
+        return table.set_column(table.schema.get_field_index("bucket"), "bucket", pa.array(names, pa.string()))
+
+    return reduce(lambda a, b: a.unionByName(b), small).groupBy("bucket").applyInArrow(finish, rows.schema)
+
+
+def _labelled(placed: DataFrame, key: str, centers: dict[str, np.ndarray], sums: bool) -> DataFrame:
+    """``placed`` with the ``label`` of each row, or sums: a row for each bucket and label of a batch, its row count as ``__pos``."""
+    shared = placed.sparkSession.sparkContext.broadcast(centers)
+    out = placed.select("bucket", "vector", "__pos", F.lit(0).alias("label")) if sums else placed.select(key, "bucket", "vector", "__pos", F.lit(0).alias("label"))
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            buckets = np.asarray(batch.column("bucket").to_pylist(), dtype=object)
+            vectors = np.stack(batch.column("vector").to_numpy(zero_copy_only=False))
+            label = np.zeros(len(vectors), dtype=np.int32)
+            found = []
+            for b in sorted(set(buckets)):
+                at = np.flatnonzero(buckets == b)
+                label[at] = _label(vectors[at], shared.value[b])
+                found += [(b, int(k), vectors[at[label[at] == k]]) for k in np.unique(label[at])] if sums else []
+            if sums:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([f[0] for f in found], pa.string()), pa.array([f[2].sum(axis=0).tolist() for f in found], pa.list_(pa.float64())),
+                    pa.array([len(f[2]) for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32())], names=["bucket", "vector", "__pos", "label"])
+            else:
+                columns = {c: batch.column(c) for c in batch.schema.names} | {"label": pa.array(label)}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return out.mapInArrow(run, out.schema)
 
 
 def _merge_tree(vectors: np.ndarray) -> list[int]:
@@ -243,7 +326,7 @@ def merge_tree(df: DataFrame, key: str, vector: str, size: int = BUCKET) -> Data
                 "node": names, "parent": [None if p == -1 else names[p] for p in parent], "level": depth, "leaf": [k < n for k in range(len(parent))],
                 "vector": [list(map(float, v)) for v in protos]})
 
-        tree = cut_lineage(buckets.groupBy("bucket").applyInPandas(build, "node string, parent string, level int, leaf boolean, vector array<double>"))
+        tree = settle(buckets.groupBy("bucket").applyInPandas(build, "node string, parent string, level int, leaf boolean, vector array<double>"))
         roots = tree.filter(F.col("parent").isNull())
         # Leaves of upper levels are the roots below, already in the table.
         parts.append(tree if level == 0 else tree.filter(~F.col("leaf")))
@@ -254,7 +337,7 @@ def merge_tree(df: DataFrame, key: str, vector: str, size: int = BUCKET) -> Data
             ] + parts[-1:]
         if roots.count() <= 1:
             break
-        current = cut_lineage(roots.select(F.col("node").alias("id"), "vector"))
+        current = settle(roots.select(F.col("node").alias("id"), "vector"))
         level += 1
     return reduce(lambda x, y: x.unionByName(y), parts)
 

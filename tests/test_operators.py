@@ -139,6 +139,13 @@ def test_equal_vectors_are_cut_into_slices(spark):
     assert max(sizes) <= 8 and sum(sizes) == 50
 
 
+def test_buckets_are_the_same_split_in_one_task_or_over_all(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(600, 6)))], "id long, v array<double>")
+    whole, spread = ({r.id: r.bucket for r in H.bounded_buckets(df, "id", "v", 16, group=g).collect()} for g in (8192, 64))
+    assert whole == spread and len(whole) == 600 and max(np.unique(list(whole.values()), return_counts=True)[1]) <= 16
+
+
 def test_merge_tree_is_one_tree(spark, data):
     t = Tables(spark, data)
     rows = H.merge_tree(t.embeddings, "vec_id", "embedding", 16).collect()
