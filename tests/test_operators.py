@@ -1,5 +1,6 @@
 """Brute-force and property checks, including groups that hold a large share of all rows."""
 
+import hashlib
 import itertools
 import json
 import random
@@ -139,6 +140,44 @@ def test_equal_vectors_are_cut_into_slices(spark):
     assert max(sizes) <= 8 and sum(sizes) == 50
 
 
+def test_matching_in_blocks_equals_plain_sums(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(c, f, f"t{t}", int(f == "a")) for c in range(60) for f in ("a", "b") for t in rng.sample(range(25), 8)]
+    asked = [(q, f"t{t}", 1.0 + t / 7) for q in range(9) for t in rng.sample(range(30), 6)]
+    postings = spark.createDataFrame(rows, "chunk long, field string, term string, first int")
+    weighted = spark.createDataFrame(asked, "query_id long, term string, weight double")
+    df, want = {}, {}
+    for _, f, t, _ in rows:
+        df[f, t] = df.get((f, t), 0) + 1
+    idf = lambda f, t: np.log(1 + (60 - df[f, t] + 0.5) / (df[f, t] + 0.5)) / np.log(1 + 59.5 / 1.5)
+    for q, t, w in asked:
+        for c, f, u, first in rows:
+            if t == u:
+                cell = want.setdefault((q, c), {"a": 0.0, "b": 0.0, "n": 0})
+                cell[f] += w * idf(f, t) * {"a": 3.0, "b": 2.0}[f]
+                cell["n"] += first
+    want = {k: (round(max(v["a"], v["b"]), 9), v["n"]) for k, v in want.items() if v["n"] >= 6 * 0.3}
+    monkeypatch.setattr(V, "TERM_BLOCK", 20)
+    monkeypatch.setattr(V, "MATCH_CELLS", 30)
+    match = lambda **more: {(r.query_id, r.chunk): (round(r.score, 9), r.matched) for r in V.match_text(
+        weighted, postings, F.lit(60), "chunk", boosts={"a": 3.0, "b": 2.0}, min_match=0.3, **more).collect()}
+    assert match() == want
+    top = match(best=2)
+    for q in range(9):
+        tops = sorted((k for k in want if k[0] == q), key=lambda k: (-want[k][0], k))[:2]
+        assert all(top[k] == want[k] for k in tops)
+
+
+def test_hashed_counts_match_plain_python(spark):
+    words = ["alpha", "beta", "gamma", "beta", "x1", "alpha", "beta"]
+    row = spark.createDataFrame([(" ".join(words),), (None,), ("",)], "text string").select(VEC.hash_embedding(F.col("text")).alias("v"), VEC.hash_embedding(F.col("text"), 100).alias("w")).collect()[0]
+    for v, dim in ((row.v, 64), (row.w, 100)):
+        want = [0.0] * dim
+        for w in words:
+            want[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim] += 1
+        assert list(v) == want
+
+
 def test_buckets_are_the_same_split_in_one_task_or_over_all(spark):
     rng = np.random.default_rng(3)
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(600, 6)))], "id long, v array<double>")
