@@ -157,7 +157,7 @@ def test_matching_in_blocks_equals_plain_sums(spark, monkeypatch):
                 cell[f] += w * idf(f, t) * {"a": 3.0, "b": 2.0}[f]
                 cell["n"] += first
     want = {k: (round(max(v["a"], v["b"]), 9), v["n"]) for k, v in want.items() if v["n"] >= 6 * 0.3}
-    monkeypatch.setattr(V, "TERM_BLOCK", 20)
+    monkeypatch.setattr(V, "TERM_BLOCK", 60)
     monkeypatch.setattr(V, "MATCH_CELLS", 30)
     match = lambda **more: {(r.query_id, r.chunk): (round(r.score, 9), r.matched) for r in V.match_text(
         weighted, postings, F.lit(60), "chunk", boosts={"a": 3.0, "b": 2.0}, min_match=0.3, **more).collect()}
