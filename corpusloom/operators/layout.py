@@ -120,12 +120,16 @@ def attach_metadata(chunks: DataFrame, meta: DataFrame, doc: str, field: str, ke
     return chunks.join(small, doc, "left")
 
 
-def with_parents(children: DataFrame, id: str, parent_text: str, text: str) -> DataFrame:
-    """Children with their parent id, plus every distinct parent text once as an unavailable row."""
-    parent_id = F.md5(parent_text)
-    parents = children.select(parent_id.alias(id), F.col(parent_text).alias("text")).dropDuplicates([id])
-    rows = children.select(F.col(id), parent_id.alias("parent_id"), F.lit(1).alias("available"), F.col(text).alias("text"))
-    return rows.unionByName(parents.select(id, F.lit(None).cast("string").alias("parent_id"), F.lit(0).alias("available"), "text"))
+def with_parents(children: DataFrame, parents: DataFrame, key: str, id: str, parent_text: str, text: str) -> DataFrame:
+    """Children with their parent id, plus every distinct text of a parent that has children once as an unavailable row.
+
+    ``children (key, id, text)`` meet their ``parents (key, parent_text)`` by ``key``. A child meets the id of its parent and not its
+    text, so a long text does not travel once for each of its children.
+    """
+    known = parents.select(key, F.md5(parent_text).alias("parent_id"), F.col(parent_text).alias("__text"))
+    rows = children.join(known.select(key, "parent_id"), key).select(id, "parent_id", F.lit(1).alias("available"), F.col(text).alias("text"))
+    held = known.join(children.select(key).distinct(), key, "left_semi").dropDuplicates(["parent_id"])
+    return rows.unionByName(held.select(F.col("parent_id").alias(id), F.lit(None).cast("string").alias("parent_id"), F.lit(0).alias("available"), F.col("__text").alias("text")))
 
 
 def nest_extracts(raw: DataFrame, extracts: DataFrame, id: str, source: str, extract: str) -> DataFrame:

@@ -358,8 +358,8 @@ def j6(t):
 select distinct md5(text) as id, null as parent_id, 0 as available, length(text) as size from documents
 union all select md5(line || doc_id || '#' || pos), md5(text), 1, length(line) from li join documents using (doc_id)""")
 def j7(t):
-    children = doc_lines(t).select("doc_id", "pos", "line").join(t.documents.select("doc_id", "text"), "doc_id")
-    rows = L.with_parents(children.withColumn("id", F.md5(F.concat("line", "doc_id", F.lit("#"), "pos"))), "id", "text", "line")
+    children = doc_lines(t).select("doc_id", F.md5(F.concat("line", "doc_id", F.lit("#"), "pos")).alias("id"), "line")
+    rows = L.with_parents(children, t.documents.select("doc_id", "text"), "doc_id", "id", "text", "line")
     return rows.select("id", "parent_id", "available", F.length("text").alias("size"))
 
 

@@ -367,3 +367,17 @@ def test_json_is_opened_to_any_depth(spark):
     chunks = C.split_json(C.json_leaves(docs.filter("id = 6"), "id", "v"), "id", "leaves", 120, 50).collect()
     parts = [x for c in sorted(chunks, key=lambda c: c.pos) for x in json.loads(c.text).items()]
     assert [(k, json.dumps(v)) for k, v in parts] == leaves(bodies[6])
+
+
+def test_children_meet_the_id_of_their_parent_and_not_its_text(spark):
+    parents = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "no child"), (4, "c"), (4, "d"), (None, "n")], "doc long, body string")
+    children = spark.createDataFrame([(1, "x", "a"), (1, "y", "b"), (2, "z", "a"), (4, "w", "c"), (None, "v", "n")], "doc long, id string, line string")
+    found = L.with_parents(children, parents, "doc", "id", "body", "line")
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    wanted = [("x", md5("a b"), 1, "a"), ("y", md5("a b"), 1, "b"), ("z", md5("a b"), 1, "a"), ("w", md5("c"), 1, "c"), ("w", md5("d"), 1, "c")]
+    wanted += [(md5(b), None, 0, b) for b in ("a b", "c", "d")]
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, wanted))
+    # Above the projection that makes the id, the children's join knows no parent text.
+    plan = found.filter("available = 1")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = next(i for i, line in enumerate(plan) if "md5(" in line)
+    assert any("Join Inner" in line for line in plan[:made]) and not any("body#" in line for line in plan[:made])
