@@ -381,3 +381,18 @@ def test_children_meet_the_id_of_their_parent_and_not_its_text(spark):
     plan = found.filter("available = 1")._jdf.queryExecution().optimizedPlan().toString().splitlines()
     made = next(i for i, line in enumerate(plan) if "md5(" in line)
     assert any("Join Inner" in line for line in plan[:made]) and not any("body#" in line for line in plan[:made])
+
+
+def test_pagerank_of_a_hub_and_parallel_edges_over_bunches_of_links(spark):
+    n = 5_000
+    edges = spark.range(n).select(F.concat(F.lit("L"), "id").alias("src"), F.lit("HUB").alias("dst"), (F.col("id") % 3 + 1).cast("double").alias("weight"))
+    edges = edges.unionByName(edges.filter("weight = 1")).unionByName(edges.filter("weight = 2").select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
+    sizes = G._dealt(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight").filter("src = 'HUB'"), F.lit(1)).groupBy("src", "bunch").count().agg(F.count("*"), F.max("count")).first()
+    assert sizes[0] > 100 and sizes[1] < 100  # the hub is many short rows
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("name")).distinct()
+    got = {r.name: r.pagerank for r in G.pagerank(nodes, edges, 3).collect()}
+    weight = {f"L{i}": (2.0, 4.0, 3.0)[i % 3] for i in range(n)}
+    total, hub, leaf = sum(weight.values()), 1 / (n + 1), dict.fromkeys(weight, 1 / (n + 1))
+    for _ in range(3):
+        hub, leaf = 0.85 * sum(leaf.values()) + 0.15 / (n + 1), {k: 0.85 * hub * w / total + 0.15 / (n + 1) for k, w in weight.items()}
+    assert abs(got["HUB"] - hub) < 1e-12 and all(abs(got[k] - v) < 1e-12 for k, v in leaf.items())
