@@ -3,7 +3,9 @@
 import hashlib
 import itertools
 import json
+import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -396,3 +398,25 @@ def test_pagerank_of_a_hub_and_parallel_edges_over_bunches_of_links(spark):
     for _ in range(3):
         hub, leaf = 0.85 * sum(leaf.values()) + 0.15 / (n + 1), {k: 0.85 * hub * w / total + 0.15 / (n + 1) for k, w in weight.items()}
     assert abs(got["HUB"] - hub) < 1e-12 and all(abs(got[k] - v) < 1e-12 for k, v in leaf.items())
+
+
+def test_random_walks_over_a_hub_draw_by_weight_and_form_no_row_for_each_neighbour(spark):
+    """40 000 walkers at a hub of 20 000 neighbours: a row for each of them and neighbour would be 800 million rows a step."""
+    n = 20_000
+    edges = spark.range(n).select(F.concat(F.lit("L"), "id").alias("src"), F.lit("HUB").alias("dst"), F.when(F.col("id") < n // 2, 1.0).otherwise(3.0).alias("weight"))
+    begin = time.time()
+    ends = G.random_walks(edges, 2, 3).filter("name <> 'HUB'").select(F.size("path").alias("n"), F.get("path", F.lit(1)).alias("hub"), F.expr("cast(substr(path[2], 2) as long)").alias("leaf"))
+    row = ends.agg(F.count("*").alias("rows"), F.min("n").alias("n"), F.count_if(F.col("hub") == "HUB").alias("hub"), F.count_if(F.col("leaf") >= n // 2).alias("heavy"), F.count_distinct("leaf").alias("leaves")).first()
+    assert (row["rows"], row["n"], row["hub"]) == (2 * n, 3, 2 * n)
+    assert abs(row["heavy"] / (2 * n) - 0.75) < 0.015
+    # A light leaf is missed with probability e^-1, a heavy one with e^-3.
+    assert abs(row["leaves"] / n - (1 - (math.exp(-1) + math.exp(-3)) / 2)) < 0.02
+    assert time.time() - begin < 120
+
+
+def test_random_walks_use_the_heavier_of_parallel_edges_and_never_one_without_weight(spark):
+    edges = spark.createDataFrame([("A", "B", 1.0), ("B", "A", 2.0), ("A", "B", 0.5), ("A", "A", 3.0), ("A", "C", 0.0)], "src string, dst string, weight double")
+    walks = G.random_walks(edges, 400, 2).collect()
+    assert not [r for r in walks if r["name"] == "C"] and all(len(r["path"]) == 2 for r in walks)
+    share = sum(r["path"][1] == "A" for r in walks if r["name"] == "A") / 400
+    assert abs(share - 0.6) < 0.08
