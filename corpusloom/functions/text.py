@@ -6,7 +6,10 @@ import html
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 
 WHITESPACE = " \t\n\r\x0b\x0c"
@@ -167,6 +170,27 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(spaced, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+def token_parts(c: Column, name: str) -> list[Column]:
+    """Two columns from which ``token_lists`` makes the tokens of ``c`` in a task: a text of ASCII as it is, the tokens of any other."""
+    plain = F.octet_length(c) == F.char_length(c)
+    return [F.when(plain, c).alias(f"{name}_ascii"), F.when(~plain, tokens(c)).alias(f"{name}_other")]
+
+
+_ASCII = np.array([ord(chr(b).lower()) if chr(b).isalnum() and b < 128 else 32 for b in range(256)], np.uint8)
+
+
+def token_lists(batch: pa.RecordBatch, name: str) -> pa.ListArray:
+    """``tokens`` of a batch with the two columns of ``token_parts``; a text without any may have one empty token, a null has a null."""
+    plain, other = batch.column(f"{name}_ascii"), batch.column(f"{name}_other").cast(pa.list_(pa.string()))
+    if plain.null_count == len(plain):
+        return other
+    valid, offsets, data = plain.buffers()
+    marked = _ASCII[np.frombuffer(data, np.uint8)] if data is not None else np.empty(0, np.uint8)
+    marked = pa.StringArray.from_buffers(len(plain), offsets, pa.py_buffer(marked), valid, plain.null_count, plain.offset)
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(marked)).cast(pa.list_(pa.string()))
+    return lists if other.null_count == len(other) else pc.coalesce(lists, other)
+
+
 def fine_tokens(c: Column) -> Column:
     """Tokens with letter and digit runs separated."""
     spaced = F.regexp_replace(F.lower(c), r"(\p{IsHan})", " $1 ")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
-from corpusloom.functions import vectors as VEC
+from corpusloom.functions import text as X, vectors as VEC
 from corpusloom.operators.running import top_k
 from corpusloom.session import cut_lineage
 
@@ -19,6 +20,25 @@ QUERY_BLOCK = 16384  # query vectors sent to every task at once
 CELLS = 1 << 22  # similarities that a task holds at once
 
 
+def hashed_vectors(rows: DataFrame, key: str, text: str = "text", dim: int = 64) -> DataFrame:
+    """``(key, vector)`` with ``vectors.hash_embedding`` of each text; a task hashes each distinct token of an Arrow batch once."""
+    tokens = rows.select(key, *X.token_parts(F.col(text), "__t"))
+
+    def count(batches):
+        for batch in batches:
+            lists = X.token_lists(batch, "__t")
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            words = lists.flatten().dictionary_encode()
+            buckets = np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim if w else -1 for w in words.dictionary.to_pylist()], np.int64)
+            bucket = buckets[words.indices.to_numpy(zero_copy_only=False)]
+            cells = (np.repeat(np.arange(len(lists)) * dim, sizes) + bucket)[bucket >= 0]
+            # The vector of a missing text has no values, as the column function's.
+            values = pa.array(np.bincount(cells, minlength=len(lists) * dim).astype(float), mask=np.repeat(lists.is_null().to_numpy(zero_copy_only=False), dim))
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * dim), values)], names=[key, "vector"])
+
+    return tokens.mapInArrow(count, f"{key} {rows.schema[key].dataType.simpleString()}, vector array<double>")
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     if len(column) == 0:
         return np.zeros((0, 0))

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from corpusloom.functions import vectors as VEC
+from corpusloom.functions import text as X, vectors as VEC
 from corpusloom.operators import chunking as C, graph as G, layout as L, ranking as K, retrieval as V, running as RUN, sqlapi as Q, tree as H, vector_search as S
 from corpusloom.registry import Tables
 from corpusloom.session import settle
@@ -444,3 +444,39 @@ def test_phrase_boost_sends_asked_pairs_only(spark, monkeypatch):
             assert {(r.query_id, r.chunk): round(r.phrase_score, 9) for r in rows.collect()} == {k: round(v, 9) for k, v in want.items()}
     # No list of all pairs of a text is exploded into rows.
     assert "Generate" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+ODD_TEXTS = ["The cat, the CAT\tsat", "", None, "  ", "日本語 text 42x", "Ünï code-é Σς", "a\x00b\x1fc_d", "one\ntwo one", "K 東a京", "the end"]
+
+
+def test_asked_terms_agree_with_the_whole_corpus(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_TEXTS + ODD_TEXTS[:2])], "doc_id long, text string")
+    asked = spark.createDataFrame([("the",), ("cat",), ("one",), ("é",), ("日",), ("k",), ("c",), ("absent",), ("the",)], "term string")
+    once = asked.distinct()
+    stats = V.term_statistics(docs, "doc_id").join(once, "term", "left_semi").select("term", "df", "cf")
+    assert sorted(map(tuple, V.asked_statistics(docs, asked).collect())) == sorted(map(tuple, stats.collect())) and stats.count() == 7
+    fields = {"title_tks": F.split("text", "\n")[0], "content_ltks": F.col("text")}
+    whole = V.field_postings(docs, "doc_id", {n: X.tokens(c) for n, c in fields.items()}).join(once, "term", "left_semi").select("doc_id", "field", "term", "first")
+    assert sorted(map(tuple, V.asked_postings(docs, "doc_id", fields, asked).collect())) == sorted(map(tuple, whole.collect()))
+    vectors = docs.select("doc_id", VEC.hash_embedding(F.col("text")).alias("vector"))
+    assert sorted(map(str, S.hashed_vectors(docs, "doc_id").collect())) == sorted(map(str, vectors.collect()))
+
+
+def test_hybrid_search_makes_tokens_for_pool_chunks_only(spark):
+    docs = spark.createDataFrame([(i, f"w{i} common x{i % 3}") for i in range(40)], "doc_id long, text string")
+    queries = spark.createDataFrame([(1, "w7 common x1"), (2, "w8 common")], "query_id long, text string")
+    weighted = V.term_weights(V.query_terms(queries), V.term_statistics(docs, "doc_id")).localCheckpoint()
+    hits = weighted.filter(F.col("term").startswith("w")).select("query_id", F.substring("term", 2, 9).cast("long").alias("doc_id"), F.lit(1.0).alias("score"))
+    tokens = lambda rows: rows.select("doc_id", X.tokens(F.col("text")).alias("tokens"))
+    vectors = S.hashed_vectors(docs, "doc_id")
+    asked = queries.select("query_id", VEC.hash_embedding(F.col("text")).alias("vector"))
+    seen = []
+
+    def pool_tokens(ids):
+        seen.extend(r[0] for r in ids.collect())
+        return tokens(docs.join(ids, "doc_id", "left_semi"))
+
+    some = V.hybrid_search(weighted, hits, asked, vectors, "doc_id", pool=3, pool_tokens=pool_tokens)
+    every = V.hybrid_search(weighted, hits, asked, vectors.join(tokens(docs), "doc_id"), "doc_id", pool=3)
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, every.collect()))
+    assert 0 < len(seen) <= 6 and len(set(seen)) == len(seen)
