@@ -344,6 +344,64 @@ def test_passages_of_texts_with_a_common_shorter_run(spark):
     assert all(r["kind"] == "passage" and r["n_words"] >= 50 for r in got)
 
 
+def test_common_run_is_in_every_similar_passage():
+    """Of passages with words changed, added or left out at the most distant places, the longest common run is never shorter."""
+    assert passages.common_run(46, 5, 0.8) == 21 and passages.common_run(46, 5, 1) == 46
+    rng = np.random.default_rng(15)
+    for _ in range(2000):
+        n = int(rng.integers(50, 200))
+        x = list(range(n))
+        y = list(x)
+        for at in sorted(rng.choice(np.arange(5, n - 5), int(rng.integers(1, 5)), replace=False).tolist(), reverse=True):
+            y[at : at + 1] = ([-at], [at, -at], [])[int(rng.integers(0, 3))]
+        own, other = ([tuple(w[i : i + 5]) for i in range(len(w) - 4)] for w in (x, y))
+        both = set(own) & set(other)
+        if min(len(own), len(other)) < 46 or len(both) < 0.8 * len(set(own) | set(other)):
+            continue
+        longest = now = 0
+        for t, u in zip(own, own[1:] + [None]):
+            now = now + 1 if t in both else 0
+            longest = max(longest, now)
+        assert longest >= 21
+
+
+def test_passages_of_the_least_similarity_are_all_found(spark):
+    """No passage of 50 words with one other word in it is lost, nor one that two of nine texts share whose other texts have a part of it."""
+    rng = np.random.default_rng(14)
+    text = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    rows, pairs = [], set()
+    for _ in range(300):
+        left, right = text(25), text(24)
+        pairs.add(frozenset((len(rows), len(rows) + 1)))
+        rows += [text(int(rng.integers(0, 60))) + left + text(1) + right + text(5) for _ in range(2)]
+    for _ in range(20):
+        common, end = text(30), [text(24) for _ in range(4)]
+        order = rng.permutation(9).tolist()
+        pairs |= {frozenset((len(rows) + order[i], len(rows) + order[i + 4])) for i in range(4)}
+        of = {order[i + j]: end[i] for i in range(4) for j in (0, 4)}
+        rows += [text(int(rng.integers(0, 60))) + common + text(1) + of.get(i, text(24)) + text(5) for i in range(9)]
+    got = passages.repeated_passages(spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")).collect()
+    assert {frozenset((r["doc_id"], r["other_id"])) for r in got} == pairs
+    assert all(r["n_words"] >= 50 for r in got)
+
+
+def test_names_that_many_texts_and_batches_share(spark):
+    """A name of many texts, read in batches of few rows, keeps its exact passages connected and links no text to itself."""
+    rng = np.random.default_rng(16)
+    text = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    common, rows = text(40), []
+    for _ in range(40):
+        before = text(12)
+        rows += [text(int(rng.integers(0, 30))) + before + common + text(20) for _ in range(2)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = passages.repeated_passages(spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    linked = {frozenset((r["doc_id"], r["other_id"])) for r in got}
+    assert linked == {frozenset((2 * k, 2 * k + 1)) for k in range(40)}
+
+
 def test_proximity_matches_are_all_found(spark):
     """Matches against every place of every window: edits of rare words, words that no document has, short items."""
     rng = np.random.default_rng(12)
