@@ -402,6 +402,37 @@ def test_names_that_many_texts_and_batches_share(spark):
     assert linked == {frozenset((2 * k, 2 * k + 1)) for k in range(40)}
 
 
+def test_tile_pairs_lose_no_pair_with_enough_tokens():
+    """What :func:`tile_pairs` leaves out has too few common tokens by the exact count, with rare, common and repeated tokens."""
+    rng = np.random.default_rng(18)
+    common = rng.integers(0, 10**6, 30)
+    rows = [np.concatenate([common[: int(rng.integers(0, 31))], rng.integers(0, 40, int(rng.integers(0, 60))), rng.integers(0, 10**6, 40)]).astype(np.int32) for _ in range(70)]
+    rows += [np.full(60, 7, np.int32), np.zeros(0, np.int32)]
+    bits = [(passages.token_hashes(r, 1) >> np.uint64(48)).astype(np.uint16) for r in rows]
+    left, right = np.arange(40), np.arange(30, len(rows))
+    got = passages.tile_pairs(bits, left, right, 20)
+    want = np.array([[passages.common_tokens([rows[i]], [rows[j]], 1).min() >= 20 for j in right] for i in left])
+    assert got[want].all() and want.any() and not want.all() and got.sum() <= want.sum() + 5
+
+
+@pytest.mark.parametrize("tile", [2048, 7])
+def test_similar_passages_of_names_with_many_classes(spark, monkeypatch, tile):
+    """Two of 60 texts with a common part share a similar passage: all such pairs are found, wherever the two lie among the others."""
+    monkeypatch.setattr(passages, "TILE", tile)
+    rng = np.random.default_rng(17)
+    text = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    rows, pairs = [], set()
+    for _ in range(3):
+        common, order, base = text(30), rng.permutation(60).tolist(), len(rows)
+        ends = [text(24) for _ in range(20)]
+        of = {order[i + j]: ends[i] for i in range(20) for j in (0, 20)}
+        pairs |= {frozenset((base + order[i], base + order[i + 20])) for i in range(20)}
+        rows += [text(int(rng.integers(0, 60))) + common + text(1) + of.get(i, text(24)) + text(5) for i in range(60)]
+    got = passages.repeated_passages(spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")).collect()
+    assert {frozenset((r["doc_id"], r["other_id"])) for r in got} == pairs
+    assert all(r["n_words"] >= 50 for r in got)
+
+
 def test_proximity_matches_are_all_found(spark):
     """Matches against every place of every window: edits of rare words, words that no document has, short items."""
     rng = np.random.default_rng(12)
