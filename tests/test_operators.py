@@ -6,12 +6,14 @@ import json
 import math
 import random
 import time
+import uuid
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from corpusloom import session
 from corpusloom.functions import text as X, vectors as VEC
 from corpusloom.operators import chunking as C, graph as G, layout as L, ranking as K, retrieval as V, running as RUN, sqlapi as Q, tree as H, vector_search as S
 from corpusloom.registry import Tables
@@ -85,6 +87,26 @@ def test_settled_rows_forget_the_estimates_of_their_plan(spark, capsys):
     assert rows.count() == 10 and size.endswith((" B", "KiB"))
 
 
+def test_pagerank_keeps_no_files_of_finished_rounds(spark, tmp_path, monkeypatch):
+    """After twelve rounds only the links, the nodes and the last ranks lie in the shared folder, and shuffle files are gone."""
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(session, "FORGET_SECONDS", 0.0)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: sum(b.toString().startswith("shuffle_") for b in map(blocks.getAllBlocks().apply, range(blocks.getAllBlocks().size())))
+    edges = spark.createDataFrame([(f"a{i}", f"b{i * 7 % 90}", 1.0) for i in range(300)], "src string, dst string, weight double")
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("name"))
+    session.forget(spark)
+    time.sleep(2)
+    before = shuffled()
+    ranks = G.pagerank(nodes, edges, 12)
+    assert len(list(tmp_path.iterdir())) <= 3
+    deadline = time.monotonic() + 20
+    while (now := shuffled()) > before + 16 and time.monotonic() < deadline:
+        time.sleep(0.5)
+    assert now <= before + 16
+    assert sum(r.pagerank for r in ranks.collect()) == pytest.approx(1.0, abs=1e-6)
+
+
 def test_random_walks_repeat(spark):
     edges = spark.createDataFrame([("a", "b", 1.0), ("b", "c", 2.0), ("a", "c", 1.0)], "src string, dst string, weight double")
     first = sorted(map(str, G.random_walks(edges, 2, 4).collect()))
