@@ -72,6 +72,18 @@ def test_communities_beat_singletons(spark):
     assert G.modularity(edges, labels).first()[0] > 0.5
 
 
+def test_communities_of_a_hub_in_several_pieces(spark, monkeypatch, tmp_path):
+    """What a node of many links chooses from is weighed in pieces with the same result, and files of finished rounds are deleted."""
+    rng = random.Random(8)
+    rows = [("hub", f"n{i}", 1.0 + i % 3) for i in range(60)] + [(f"n{rng.randrange(60)}", f"n{rng.randrange(60)}", 2.0) for _ in range(150)] + [(None, "n1", 1.0)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    whole = sorted(G.modularity_communities(edges).collect())
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(G, "PIECE", 7)
+    assert sorted(G.modularity_communities(edges).collect()) == whole and len(whole) == 61
+    assert len(list(tmp_path.iterdir())) == 1
+
+
 def test_hierarchy_covers_every_node_once_per_level(spark, data):
     found = entry.queries()["n13_hierarchical_communities"](spark, data).collect()
     top = [r.name for r in found if r.level == 0]
