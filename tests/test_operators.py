@@ -553,3 +553,13 @@ def test_token_similarity_makes_no_row_for_a_feature(spark, monkeypatch, block,
     rows = lambda df: sorted((r[0], -1 if r[1] is None else r[1], round(r[2], 12)) for r in df.collect())
     assert rows(found) == rows(want) and want.count() > 100
     assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    # Given pairs, zeros included: a chunk of many queries is several rows, one without text has null.
+    monkeypatch.setattr(V, "PAIR_ROWS", 3)
+    ids = [r[0] for r in docs.select("doc_id").distinct().collect()]
+    pairs = spark.createDataFrame([(q, d) for q, _ in queries for d in [*ids, 999]], "query_id long, doc_id long")
+    sums = asked.groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("feature", "weight"))).alias("w"), F.sum("weight").alias("q"))
+    both = pairs.join(sums, "query_id").join(chunks.select("doc_id", V.chunk_features(F.col("tokens")).alias("f")), "doc_id")
+    inside = F.aggregate(F.array_intersect(F.map_keys("w"), "f"), F.lit(0.0), lambda s, x: s + F.element_at("w", x))
+    values = lambda df: sorted((r[0], r[1], -1 if r[2] is None else round(r[2], 12)) for r in df.collect())
+    some = values(V.token_similarity(weighted, chunks, "doc_id", pairs=pairs))
+    assert some == values(both.select("query_id", "doc_id", (inside + 1e-9) / (F.col("q") + 1e-9))) and -1 in {r[2] for r in some}
